@@ -70,7 +70,9 @@ snapshot AS (
     CAST(id % 2 AS DOUBLE) AS ind_client_activity,
     CASE WHEN id % 23 = 0 THEN NULL ELSE c_acctbal * 100.0 END::DOUBLE AS income,
     CASE c_mktsegment {seg} END AS client_segment,
-    ind_1m_urgent, ind_1m_large, ind_1m_high, ind_1m_low, ind_1m_open
+    ind_1m_urgent,
+    CASE WHEN (id + month(fetch_date)) % 29 = 0 THEN NULL ELSE ind_1m_large END AS ind_1m_large,
+    ind_1m_high, ind_1m_low, ind_1m_open
   FROM snapshot_m)"""
 
 

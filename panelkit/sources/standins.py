@@ -126,7 +126,9 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 23 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("c_acctbal") * 100.0).alias("income"),
         _case(F.col("c_mktsegment"), SEGMENT_OF_MARKET).alias("client_segment"),
-        *[F.col(p) for p in ORDER_PRODUCTS],
+        *[F.when((k + F.month("fetch_date")) % 29 == 0, F.lit(None).cast("int"))
+           .otherwise(F.col(p)).alias(p) if p == "ind_1m_large" else F.col(p)
+          for p in ORDER_PRODUCTS],
     )
 
 
