@@ -93,8 +93,14 @@ def fill_with(c, value) -> Column:
 
 
 def round_to(c, places: int = 4) -> Column:
-    """half-up rounding."""
-    return F.round(col(c), places)
+    """round the binary value half away from zero, as Python's ``round``
+    and numpy see it: 0.01775 (stored as 0.017749999...) gives 0.0177.
+
+    ``F.round`` rounds the shortest decimal text instead and would give 0.0178.
+    """
+    x = col(c).cast("double")
+    p = float(10 ** places)
+    return F.signum(x) * F.floor(F.abs(x) * p + F.lit(0.5)) / F.lit(p)
 
 
 def strip_prefix(c, prefix: str) -> Column:

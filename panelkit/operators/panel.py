@@ -224,7 +224,8 @@ def downsample_inactive(df: DataFrame, products: Sequence[str], keep_fraction: f
     that never hold a product. The choice is by md5 of (id, seed), so it is
     repeatable and the same in SQL."""
     w = Window.partitionBy(id_col)
-    held = F.max(F.greatest(*[F.coalesce(F.col(p), F.lit(0)) for p in products])).over(w)
+    flags = [F.coalesce(F.col(p), F.lit(0)) for p in products]
+    held = F.max(F.greatest(*flags) if len(flags) > 1 else flags[0]).over(w)
     keep = (F.col("_held") > 0) | (F.substring(md5_key([id_col], seed), 1, 8) >= F.lit(
         hex_threshold(1.0 - keep_fraction)))
     return df.withColumn("_held", held).where(keep).drop("_held")

@@ -115,7 +115,28 @@ def _metric_events() -> str:
   SELECT ts, user_id, event_type AS target, value AS response_time FROM events)"""
 
 
+def _scored_panel() -> str:
+    from ..sources.standins import EVENT_PRODUCTS, EVENT_SPLIT_DATE, SCORED_PANEL_THRESHOLD
+    tgt = ", ".join(
+        f"coalesce(CAST(({p} = 0 AND lead({p}) OVER w = 1) AS INTEGER), 0) AS target__{p}"
+        for p in EVENT_PRODUCTS)
+    long = " UNION ALL ".join(
+        f"SELECT id, fetch_date, '{p}' AS target, {p} AS state, target__{p} AS y FROM ep_labels"
+        for p in EVENT_PRODUCTS)
+    return f"""ep_labels AS (
+  SELECT * FROM (SELECT *, {tgt}, lead(id) OVER w AS _nid FROM event_panel
+    WINDOW w AS (PARTITION BY id ORDER BY fetch_date)) WHERE _nid IS NOT NULL),
+ep_long AS ({long}),
+ep_rates AS (SELECT target, state, avg(y) AS proba FROM ep_long
+  WHERE fetch_date <= DATE '{EVENT_SPLIT_DATE}' GROUP BY target, state),
+scored_panel AS (
+  SELECT l.id, l.fetch_date, l.target, l.y, r.proba, CAST(r.proba >= {SCORED_PANEL_THRESHOLD} AS INTEGER) AS yhat
+  FROM ep_long l JOIN ep_rates r ON l.target = r.target AND l.state = r.state
+  WHERE l.fetch_date > DATE '{EVENT_SPLIT_DATE}')"""
+
+
 _DEFS = {
+    "scored_panel": (["event_panel"], _scored_panel),
     "event_panel": ([], _event_panel),
     "order_panel": ([], _order_panel),
     "snapshot": (["order_panel"], _snapshot),

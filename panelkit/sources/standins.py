@@ -36,11 +36,12 @@ ORDER_PRODUCTS = ["ind_1m_urgent", "ind_1m_large", "ind_1m_high", "ind_1m_low",
 ORDER_SPLIT_DATE = "2000-06-01"
 ORDER_START_DATE = "1996-01-01"
 LARGE_ORDER_PRICE = 400000.0
+SCORED_PANEL_THRESHOLD = 0.4
 
 # Display names of the stand-in products (name_ru carries the same text).
 EVENT_PRODUCT_NAMES = [
-    ("ind_view", "Page View"), ("ind_click", "Click"), ("ind_purchase", "Purchase"),
-    ("ind_signup", "Sign Up"), ("ind_error", "Error Report"),
+    ("ind_view", "View"), ("ind_click", "Click"), ("ind_purchase", "Purchase"),
+    ("ind_signup", "Signup"), ("ind_error", "Error Report"),
 ]
 ORDER_PRODUCT_NAMES = [
     ("ind_1m_urgent", "Urgent Order"), ("ind_1m_large", "Large Order"),
@@ -202,3 +203,25 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = snapshot(spark, sf_dir)
     bad = F.col("id") % 37 == 0
     return rows_to_json(snap, bad_date=("registration_date", bad, "31-02-2016"))
+
+
+def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-label predictions with heavily tied scores.
+
+    Labels come from the event panel (W01, W03, W04); the score of a test row
+    is the train-period acquisition rate of its product given its current
+    state (0/1). The rate table has (products x 2) rows, so it is broadcast.
+    """
+    from ..operators.panel import build_labels
+    lab = build_labels(event_panel(spark, sf_dir), EVENT_PRODUCTS)
+    long = lab.select("id", "fetch_date", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("target"), F.col(p).alias("state"),
+                 F.col("target__" + p).alias("y")) for p in EVENT_PRODUCTS])).alias("x")
+    ).select("id", "fetch_date", "x.target", "x.state", "x.y")
+    split = F.to_date(F.lit(EVENT_SPLIT_DATE))
+    rates = (long.where(F.col("fetch_date") <= split).groupBy("target", "state")
+                 .agg(F.avg("y").alias("proba")))
+    test = long.where(F.col("fetch_date") > split)
+    return (test.join(F.broadcast(rates), ["target", "state"])
+                .select("id", "fetch_date", "target", "y", "proba",
+                        (F.col("proba") >= SCORED_PANEL_THRESHOLD).cast("int").alias("yhat")))
