@@ -100,10 +100,16 @@ def score_groups(long: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(1 - F.col("y")).cast("long").alias("neg"))
 
 
-def _cumulative(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _cumulative(long: DataFrame, keys: Sequence[str], grouped: bool = False) -> DataFrame:
     """Per distinct score (descending): pos, neg, cum_pos, cum_neg (scores >= s),
-    and the key totals P, N."""
-    g = score_groups(long, keys)
+    and the key totals P, N. ``grouped`` = the input is already score groups.
+
+    The score groups are read three times (bounds, window, totals), so they are
+    persisted; they are at most (keys x distinct scores) rows.
+    """
+    from pyspark import StorageLevel
+    g = long if grouped else score_groups(long, keys)
+    g = g.persist(StorageLevel.MEMORY_AND_DISK)
     c = running_sums(g, list(keys), "proba", True, ["pos", "neg"])
     if keys:
         tot = g.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
@@ -112,9 +118,10 @@ def _cumulative(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     return c.withColumn("_k", F.lit(0)).join(F.broadcast(tot), "_k").drop("_k")
 
 
-def roc_auc_per_target(long: DataFrame, target: str = "target") -> DataFrame:
+def roc_auc_per_target(long: DataFrame, target: str = "target",
+                       grouped: bool = False) -> DataFrame:
     """AUC of each target with both classes present: (target, auc, P, N)."""
-    c = _cumulative(long, [target])
+    c = _cumulative(long, [target], grouped)
     part = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
     return (c.where((F.col("P") > 0) & (F.col("N") > 0))
              .groupBy(target, "P", "N")
@@ -126,11 +133,15 @@ def roc_auc(long: DataFrame, target: str = "target") -> DataFrame:
 
     Micro pools all valid labels' (y, score) pairs into one ranking.
     """
-    per = roc_auc_per_target(long, target)
+    from pyspark import StorageLevel
+    g = score_groups(long, [target]).persist(StorageLevel.MEMORY_AND_DISK)
+    per = roc_auc_per_target(g, target, grouped=True)
     macro = per.agg(F.avg("auc").alias("macro"),
                     (F.sum(F.col("auc") * F.col("P")) / F.sum("P")).alias("weighted"))
-    valid = long.join(F.broadcast(per.select(target)), target)
-    c = _cumulative(valid, [])
+    # Pool the valid labels' score groups (not the rows) for the micro average.
+    valid = (g.join(F.broadcast(per.select(target)), target)
+              .groupBy("proba").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    c = _cumulative(valid, [], grouped=True)
     part = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
     micro = c.agg((F.sum(part) / (F.first("P") * F.first("N"))).alias("micro"))
     both = micro.withColumn("_k", F.lit(0)).join(F.broadcast(macro.withColumn("_k", F.lit(0))), "_k")

@@ -199,8 +199,12 @@ def metric_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot rows as JSON strings; dates dd-MM-yyyy; some registration dates invalid."""
+    return requests_from(snapshot(spark, sf_dir))
+
+
+def requests_from(snap: DataFrame) -> DataFrame:
+    """JSON request strings for snapshot rows (see ``requests``)."""
     from ..functions.rows import rows_to_json
-    snap = snapshot(spark, sf_dir)
     bad = F.col("id") % 37 == 0
     return rows_to_json(snap, bad_date=("registration_date", bad, "31-02-2016"))
 
