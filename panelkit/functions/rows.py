@@ -11,7 +11,7 @@ from .scalars import parse_date
 
 def rows_to_json(df: DataFrame, date_format: str = "dd-MM-yyyy",
                  bad_date: tuple[str, Column, str] | None = None,
-                 out: str = "value") -> DataFrame:
+                 out: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON object per row; dates as text, NULL fields kept as null.
 
     ``bad_date`` = (column, condition, text) writes ``text`` instead of the date
@@ -26,7 +26,7 @@ def rows_to_json(df: DataFrame, date_format: str = "dd-MM-yyyy",
             fields.append(c.alias(f.name))
         else:
             fields.append(F.col(f.name))
-    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(out))
+    return df.select(*keep, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(out))
 
 
 def json_to_rows(df: DataFrame, schema: T.StructType, date_format: str = "dd-MM-yyyy",
