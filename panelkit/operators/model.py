@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..schema import CLASS_WEIGHTS, PROBA_THRESHOLD, RANDOM_STATE, TARGET_PREFIX
 from .features import FeatureEncoder, FittedFeatures
-from .ranking import recommendations
 
 DEFAULT_MAX_ITER = 20
 DEFAULT_MAX_DEPTH = 4
@@ -58,18 +57,21 @@ class ProductModel:
     targets: list
     models: dict
 
-    def score(self, df: DataFrame, keys: Sequence[str] = ("id", "fetch_date"),
-              processed: bool = False) -> DataFrame:
-        """E09 + E10: long (keys..., target, proba, yhat, [y]) for every label.
-
-        All models run over one scan of the assembled rows.
-        """
+    def score_wide(self, df: DataFrame, processed: bool = False) -> DataFrame:
+        """Every label model over one scan: columns _p_<t> (probability vector)
+        and _y_<t> (0/1) next to the input keys."""
         a = self.features.assemble(self.features.transform(df, processed))
         for t in self.targets:
             m = self.models[t].copy()
             m.setFeaturesCol("features").setProbabilityCol(f"_p_{t}") \
              .setRawPredictionCol(f"_r_{t}").setPredictionCol(f"_y_{t}")
             a = m.transform(a)
+        return a
+
+    def score(self, df: DataFrame, keys: Sequence[str] = ("id", "fetch_date"),
+              processed: bool = False) -> DataFrame:
+        """E09 + E10: long (keys..., target, proba, yhat, [y]) for every label."""
+        a = self.score_wide(df, processed)
         has_y = all(t in a.columns for t in self.targets)
         parts = []
         for t in self.targets:
@@ -133,6 +135,22 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
 
 
 def recommend(model: ProductModel, df: DataFrame, keys: Sequence[str] = ("id", "fetch_date"),
-              threshold: float = PROBA_THRESHOLD) -> DataFrame:
-    """E14 tail: ranked recommendations above the threshold, rounded to 4 places."""
-    return recommendations(model.score(df, keys), list(keys), threshold, 4)
+              threshold: float = PROBA_THRESHOLD, places: int = 4) -> DataFrame:
+    """E14 / R04 per request row: labels with probability >= threshold, ranked
+    by probability (ties by label name), rounded to ``places``.
+
+    The ranking sorts a per-row array of (label, probability), so it needs no
+    shuffle and also runs on streams (no window function).
+    """
+    from ..functions.scalars import round_to
+    a = model.score_wide(df)
+    arr = F.array(*[F.struct((-vector_to_array(F.col(f"_p_{t}"))[1]).alias("neg"),
+                             F.lit(t).alias("target"),
+                             vector_to_array(F.col(f"_p_{t}"))[1].alias("proba"))
+                    for t in model.targets])
+    kept = F.filter(F.sort_array(arr), lambda s: s["proba"] >= F.lit(float(threshold)))
+    keys = [k for k in keys if k in a.columns]
+    out = a.select(*keys, F.posexplode(kept).alias("pos", "s"))
+    return out.select(*keys, F.col("s.target").alias("target"),
+                      round_to(F.col("s.proba"), places).alias("proba"),
+                      (F.col("pos") + 1).alias("rank"))
