@@ -114,22 +114,37 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
                       targets: Sequence[str] | None = None,
                       weights: tuple[float, float] | str = CLASS_WEIGHTS,
                       max_iter: int = DEFAULT_MAX_ITER, max_depth: int = DEFAULT_MAX_DEPTH,
-                      seed: int = RANDOM_STATE) -> ProductModel:
-    """Fit features on train, keep varying labels (A25), one GBT each."""
+                      seed: int = RANDOM_STATE, parallelism: int = 4) -> ProductModel:
+    """Fit features on train, keep varying labels (A25), one GBT each.
+
+    Label fits are independent Spark jobs over the same cached frame; up to
+    ``parallelism`` of them are submitted at once from driver threads (as
+    ``CrossValidator(parallelism=...)`` does), so the cluster is not idle
+    between the small per-iteration jobs of a single fit.
+    """
     targets = list(targets or [TARGET_PREFIX + p for p in products])
+    # The fitted constants take several passes over the train rows: keep them
+    # (memory, spilling to disk) instead of re-deriving labels for every pass.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     feats = FeatureEncoder(products).fit(train)
     assembled = feats.assemble(feats.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
     kept = varying_targets(assembled, targets)
     pos = {}
     if weights == "balanced":
         pos = {r["target"]: r["pos_weight"] for r in balanced_weights(assembled, kept).collect()}
-    models = {}
-    for t in kept:
+    assembled.count()  # materialise the cache once, before the parallel fits
+    train.unpersist()
+
+    def fit_one(t: str):
         data = assembled.withColumn("_w", class_weight_column(t, weights, pos.get(t))) \
                         .withColumn("_label", F.col(t).cast("double"))
         gbt = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
                             maxIter=max_iter, maxDepth=max_depth, seed=seed)
-        models[t] = gbt.fit(data)
+        return t, gbt.fit(data)
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(kept)))) as pool:
+        models = dict(pool.map(fit_one, kept))
     assembled.unpersist()
     return ProductModel(feats, kept, models)
 
