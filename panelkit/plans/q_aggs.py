@@ -55,7 +55,7 @@ def _summary_sql():
 
 @query("a03_a07_client_product_summary", with_ctes(_summary_sql(), "snapshot"))
 def a03_a07_client_product_summary(spark, sf):
-    """Product holding per client, shares never / unchanged / same ends."""
+    """A03-A07 (A03, A04, A05, A06, A07): holding per client, never / unchanged / same ends."""
     s = A.client_product_summary(_snap(spark, sf), OP)
     return s.select(*[r6(c).alias(c) for c in s.columns])
 

@@ -279,3 +279,12 @@ def m14_label_frequency_auc(spark, sf):
     """ROC AUC of the label-frequency score (constant per label)."""
     rates, test = _baseline_input(spark, sf)
     return _rounded(M.roc_auc(M.constant_mean_baseline(test, rates, BASELINE_THRESHOLD)))
+
+
+@query("f18_flat_metric_names", with_ctes(
+    "SELECT metric || '_' || average AS name, value FROM (" + _averaged("scored_panel") + ")",
+    "scored_panel"))
+def f18_flat_metric_names(spark, sf):
+    """the metric table flattened to one (name, value) pair per cell."""
+    t = _rounded(M.averaged_scores(M.confusion(S.scored_panel(spark, sf))))
+    return t.select(F.concat_ws("_", "metric", "average").alias("name"), "value")

@@ -73,7 +73,7 @@ def f05_f06_numeric_parse(spark, sf):
            6) AS log_income
        FROM snapshot""", "snapshot"))
 def f07_f08_fill_nulls(spark, sf):
-    """F07 per-column fill constants (median of log income for income);
+    """F07 + F08: per-column fill constants (median of log income), the rest 0 / "0";
     F08 fill the rest with 0 ('0' for text)."""
     from ..operators.profile import median
     s = _snap(spark, sf).withColumn("log_income", X.log_or_null("income"))

@@ -178,3 +178,13 @@ def w03_acquisitions_per_period(spark, sf):
         .alias("x"))
     return (long.groupBy("x.product", "fetch_date")
                 .agg(F.sum("x.y").cast("long").alias("acquisitions")))
+
+
+@query("f16_percent_shares", with_ctes(
+    f"SELECT prev, cur, printf('%.2f%%', share * 100) AS share_text FROM "
+    f"({_sql_transitions(OP, 'order_panel')})", "order_panel"))
+def f16_percent_shares(spark, sf):
+    """F16: transition shares as percent text with two decimals (display form)."""
+    t = P.transition_table(S.order_panel(spark, sf), OP)
+    return t.select("prev", "cur", F.format_string("%.2f%%", F.round("share", 6) * 100)
+                    .alias("share_text"))
