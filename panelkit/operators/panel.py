@@ -43,13 +43,29 @@ def acquisition_label(cur: Column, nxt: Column) -> Column:
 
 def add_targets(df: DataFrame, products: Sequence[str], prefix: str = TARGET_PREFIX,
                 id_col: str = "id", order_col: str = "fetch_date",
-                keep_has_next: bool = False) -> DataFrame:
-    """W01 + W03 (+ P05): ``target__<p>`` for every product, and ``_has_next``."""
+                next_period: str | None = None) -> DataFrame:
+    """W01 + W03 (+ P05): ``target__<p>`` for every product, and ``_has_next``.
+
+    By default the next *row* is the next period, gaps included (the
+    reference's behaviour, X2). ``next_period="month"`` / ``"day"`` counts an
+    acquisition only when the next row is exactly one month / day later.
+    """
     w = client_window(id_col, order_col)
-    cols = [acquisition_label(F.col(p), F.lead(p).over(w)).alias(prefix + p) for p in products]
+    consecutive = None
+    if next_period == "month":
+        consecutive = F.lead(order_col).over(w) == F.add_months(F.col(order_col), 1)
+    elif next_period == "day":
+        consecutive = F.lead(order_col).over(w) == F.date_add(F.col(order_col), 1)
+    elif next_period is not None:
+        raise ValueError("next_period must be None, 'month' or 'day'")
+    cols = []
+    for p in products:
+        label = acquisition_label(F.col(p), F.lead(p).over(w))
+        if consecutive is not None:
+            label = F.when(F.coalesce(consecutive, F.lit(False)), label).otherwise(F.lit(0))
+        cols.append(label.alias(prefix + p))
     has_next = F.lead(id_col).over(w).isNotNull().alias("_has_next")
-    out = df.select("*", *cols, has_next)
-    return out if keep_has_next else out
+    return df.select("*", *cols, has_next)
 
 
 def drop_last_row(df: DataFrame, id_col: str = "id", order_col: str = "fetch_date") -> DataFrame:
@@ -97,9 +113,10 @@ def drop_clients_without_acquisition(df: DataFrame, targets: Sequence[str],
 
 def build_labels(df: DataFrame, products: Sequence[str], drop_inactive: bool = False,
                  prefix: str = TARGET_PREFIX, id_col: str = "id",
-                 order_col: str = "fetch_date") -> DataFrame:
+                 order_col: str = "fetch_date", next_period: str | None = None) -> DataFrame:
     """W01 + W03 + W04 (+ W05 when ``drop_inactive``): the labelled panel."""
-    out = drop_last_row(add_targets(df, products, prefix, id_col, order_col), id_col, order_col)
+    out = drop_last_row(add_targets(df, products, prefix, id_col, order_col, next_period),
+                        id_col, order_col)
     if drop_inactive:
         out = drop_clients_without_acquisition(out, [prefix + p for p in products], id_col)
     return out

@@ -83,3 +83,12 @@ def test_train_test_disjoint(spark, sf_small):
                                     S.ORDER_SPLIT_DATE)
     k = ["id", "fetch_date"]
     assert train.select(*k).join(test.select(*k), k).count() == 0
+
+
+def test_strict_next_month_option(spark):
+    rows = [(1, D(2015, 1, 28), 0, 0), (1, D(2015, 4, 28), 1, 0), (1, D(2015, 5, 28), 0, 1)]
+    loose = {r.fetch_date: r for r in P.build_labels(_panel(spark, rows), ["a", "b"]).collect()}
+    strict = {r.fetch_date: r for r in P.build_labels(_panel(spark, rows), ["a", "b"],
+                                                      next_period="month").collect()}
+    assert loose[D(2015, 1, 28)].target__a == 1 and strict[D(2015, 1, 28)].target__a == 0
+    assert strict[D(2015, 4, 28)].target__b == 1

@@ -73,3 +73,20 @@ def test_association_perfect_dependence(spark):
     pdf = pd.DataFrame({"a": ["x", "y"] * 50, "b": ["p", "q"] * 50})
     r = A.association(spark.createDataFrame(pdf), [("a", "b")]).first()
     assert abs(r.cramers_v - 1.0) < 1e-12 and abs(r.chi2 - 100.0) < 1e-9
+
+
+def test_hot_key_is_split_across_buckets(spark):
+    # One target holds 90% of the rows: its running totals still come from many
+    # window partitions (buckets), and stay exact.
+    from panelkit.operators.running import with_buckets
+    rng = np.random.default_rng(11)
+    n = 3000
+    pdf = pd.DataFrame({"k": np.where(rng.random(n) < 0.9, "hot", "cold"),
+                        "v": rng.random(n), "w": rng.integers(0, 3, n)})
+    df = spark.createDataFrame(pdf)
+    b = with_buckets(df, ["k"], "v", True, buckets=16).toPandas()
+    assert b[b.k == "hot"]["_bkt"].nunique() >= 8
+    out = running_sums(df, ["k"], "v", True, ["w"], buckets=16).toPandas()
+    g = pdf[pdf.k == "hot"].sort_values("v", ascending=False)
+    got = out[out.k == "hot"].sort_values("v", ascending=False)["cum_w"].to_numpy()
+    assert (g["w"].cumsum().to_numpy() == got).all()
