@@ -168,4 +168,4 @@ def recommend(model: ProductModel, df: DataFrame, keys: Sequence[str] = ("id", "
     out = a.select(*keys, F.posexplode(kept).alias("pos", "s"))
     return out.select(*keys, F.col("s.target").alias("target"),
                       round_to(F.col("s.proba"), places).alias("proba"),
-                      (F.col("pos") + 1).alias("rank"))
+                      (F.col("pos") + 1).cast("long").alias("rank"))

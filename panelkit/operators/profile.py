@@ -177,7 +177,8 @@ def top_k_per_group(counts: DataFrame, group: str, order: Sequence[Column], k: i
                .withColumn("_r1", F.row_number().over(stage1))
                .where(F.col("_r1") <= k).drop("_r1", "_salt"))
     stage2 = Window.partitionBy(group).orderBy(*order)
-    return s.withColumn("rank", F.row_number().over(stage2)).where(F.col("rank") <= k)
+    return (s.withColumn("rank", F.row_number().over(stage2).cast("long"))
+             .where(F.col("rank") <= k))
 
 
 def top_values(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5) -> DataFrame:

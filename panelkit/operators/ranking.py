@@ -23,7 +23,7 @@ def top_k_per_row(long: DataFrame, row_cols: Sequence[str], k: int,
     number of targets.
     """
     w = Window.partitionBy(*row_cols).orderBy(F.col(score).desc(), F.col(target))
-    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return long.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def recommendations(long: DataFrame, row_cols: Sequence[str], threshold: float = 0.01,
@@ -34,7 +34,7 @@ def recommendations(long: DataFrame, row_cols: Sequence[str], threshold: float =
     w = Window.partitionBy(*row_cols).orderBy(F.col(score).desc(), F.col(target))
     from ..functions.scalars import round_to
     return kept.select(*row_cols, target, round_to(score, places).alias(score),
-                       F.row_number().over(w).alias("rank"))
+                       F.row_number().over(w).cast("long").alias("rank"))
 
 
 def random_positives(long: DataFrame, rates: DataFrame, row_cols: Sequence[str],

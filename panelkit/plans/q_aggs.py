@@ -265,7 +265,7 @@ def _qq_sql():
     grid = A.qq_grid(99)
     vals = ", ".join(f"({i + 1}, {p!r}, {z!r})" for i, (p, z) in enumerate(grid))
     plist = ", ".join(repr(p) for p, _ in grid)
-    return f"""SELECT round(g.p, 6) AS p, round(g.z, 6) AS theoretical,
+    return f"""SELECT round(CAST(g.p AS DOUBLE), 6) AS p, round(CAST(g.z AS DOUBLE), 6) AS theoretical,
         round(q.qs[g.i], 6) AS sample
       FROM (SELECT quantile_cont({_LOG_INCOME}, [{plist}]) AS qs FROM snapshot) q,
            (VALUES {vals}) g(i, p, z)"""

@@ -51,7 +51,8 @@ def processed_sql(where: str) -> str:
       coalesce({_SEG}, 0.0) AS client_segment,
       {', '.join(f'coalesce({p}, 0) AS {p}' for p in OP)},
       coalesce({_toint(nprod)}, 0) AS number_of_products,
-      year(fetch_date) AS fetch_year, month(fetch_date) AS fetch_month
+      CAST(year(fetch_date) AS INTEGER) AS fetch_year,
+      CAST(month(fetch_date) AS INTEGER) AS fetch_month
     FROM snapshot WHERE {where}"""
 
 
@@ -92,7 +93,7 @@ def _categories_sql():
     for c in ONE_HOT_COLUMNS:
         parts.append(
             f"SELECT '{c}' AS \"column\", CAST(v AS VARCHAR) AS category, "
-            f"row_number() OVER (ORDER BY v) AS position FROM "
+            f"CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS position FROM "
             f"(SELECT DISTINCT {c} AS v FROM ({processed_sql(f'fetch_date <= {_SPLIT}')}))")
     return ("SELECT \"column\", category, position, position = 1 AS dropped FROM ("
             + " UNION ALL ".join(parts) + ")")

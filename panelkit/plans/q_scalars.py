@@ -26,9 +26,10 @@ def f01_number_of_products(spark, sf):
 
 
 @query("f02_f03_dates", with_ctes(
-    "SELECT id, fetch_date, year(fetch_date) AS fetch_year, month(fetch_date) AS fetch_month, "
-    "(year(fetch_date) - year(registration_date)) * 12 + (month(fetch_date) - "
-    "month(registration_date)) AS tenure FROM snapshot", "snapshot"))
+    "SELECT id, fetch_date, CAST(year(fetch_date) AS INTEGER) AS fetch_year, "
+    "CAST(month(fetch_date) AS INTEGER) AS fetch_month, "
+    "CAST((year(fetch_date) - year(registration_date)) * 12 + (month(fetch_date) - "
+    "month(registration_date)) AS INTEGER) AS tenure FROM snapshot", "snapshot"))
 def f02_f03_dates(spark, sf):
     """F02 year / month, F03 whole-month difference (day ignored)."""
     s = _snap(spark, sf)
