@@ -30,8 +30,19 @@ def write_csv(df: DataFrame, path: str, header_names: list[str] | None = None,
         .options(**_CSV_TEXT).csv(path))
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Parquet sink, overwrite; partitioned by period for pruning."""
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                  spread_by: list[str] | None = None) -> None:
+    """Parquet sink, overwrite; partitioned by period for pruning.
+
+    With ``partition_by``, rows are first range-partitioned on the partition
+    columns plus ``spread_by`` (e.g. the client id): each task then writes one
+    or two period folders instead of one small file per period, and a period
+    holding a third of the rows is still split over many tasks by the id.
+    """
+    if partition_by:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        keys = list(partition_by) + [c for c in (spread_by or []) if c in df.columns]
+        df = df.repartitionByRange(n, *keys)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -55,7 +66,7 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
                    date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Typed CSV scan, then a Parquet table partitioned by period."""
     df = read_csv_typed(spark, csv_path, schema, date_format)
-    write_parquet(df, parquet_path, list(partition_by) if partition_by else None)
+    write_parquet(df, parquet_path, list(partition_by) if partition_by else None, ["id"])
     return read_parquet(spark, parquet_path)
 
 
