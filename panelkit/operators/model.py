@@ -123,6 +123,11 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
     between the small per-iteration jobs of a single fit.
     """
     targets = list(targets or [TARGET_PREFIX + p for p in products])
+    # GBT checkpoints its running predictions every ``checkpointInterval``
+    # iterations when the context has a checkpoint folder: make sure it is the
+    # session's shared one, so a lost executor never replays the whole boosting.
+    from ..session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
     # The fitted constants take several passes over the train rows: keep them
     # (memory, spilling to disk) instead of re-deriving labels for every pass.
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
@@ -139,7 +144,8 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
         data = assembled.withColumn("_w", class_weight_column(t, weights, pos.get(t))) \
                         .withColumn("_label", F.col(t).cast("double"))
         gbt = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
-                            maxIter=max_iter, maxDepth=max_depth, seed=seed)
+                            maxIter=max_iter, maxDepth=max_depth, seed=seed,
+                            checkpointInterval=10)
         return t, gbt.fit(data)
 
     from concurrent.futures import ThreadPoolExecutor

@@ -33,7 +33,7 @@ def labelled_split(spark, sf):
 
 def fitted_model(spark, sf) -> MD.ProductModel:
     """E08 (fit part), memoised per session and input folder."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         train, _ = labelled_split(spark, sf)
         _CACHE[key] = MD.fit_product_model(train, OP, TARGETS)

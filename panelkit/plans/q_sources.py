@@ -91,3 +91,20 @@ def _json_sql():
 def s07_json_rows_sink(spark, sf):
     """Rows to JSON objects; dates as dd-MM-yyyy, NULL fields kept."""
     return rows_to_json(S.snapshot(spark, sf), keep=("id", "fetch_date"))
+
+
+@query("s05_bucketed_panel_labels", with_ctes(
+    "SELECT id, fetch_date, " + ", ".join(
+        f"coalesce(CAST(({p} = 0 AND lead({p}) OVER w = 1) AS INTEGER), 0) AS target__{p}"
+        for p in S.ORDER_PRODUCTS)
+    + " FROM snapshot WINDOW w AS (PARTITION BY id ORDER BY fetch_date) "
+    "QUALIFY lead(id) OVER w IS NOT NULL", "snapshot"))
+def s05_bucketed_panel_labels(spark, sf):
+    """S05 variant: the snapshot written bucketed by client; the label build
+    (W01, W03, W04) on it needs no shuffle."""
+    from ..operators import panel as P
+    snap = S.snapshot(spark, sf)
+    name = "panel_" + os.path.basename(scratch_dir(spark, "b")).replace("-", "_")
+    t = IO.write_bucketed(snap, name, os.path.join(scratch_dir(spark, "bucketed"), name))
+    lab = P.build_labels(t, S.ORDER_PRODUCTS)
+    return lab.select("id", "fetch_date", *["target__" + p for p in S.ORDER_PRODUCTS])

@@ -92,3 +92,17 @@ def test_strict_next_month_option(spark):
                                                       next_period="month").collect()}
     assert loose[D(2015, 1, 28)].target__a == 1 and strict[D(2015, 1, 28)].target__a == 0
     assert strict[D(2015, 4, 28)].target__b == 1
+
+
+def test_csv_positional_rename_keeps_padding(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from panelkit.sources import io as IO
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("age", T.StringType()),
+                           T.StructField("fetch_date", T.DateType())])
+    df = spark.createDataFrame([(1, " 64", D(2016, 4, 28)), (2, " NA", None)], schema)
+    path = str(tmp_path / "csv")
+    IO.write_csv(df, path, ["ncodpers", "age", "fecha_dato"])
+    back = IO.read_csv_typed(spark, path, schema)
+    assert back.columns == ["id", "age", "fetch_date"]
+    assert sorted(back.collect()) == sorted(df.collect())
