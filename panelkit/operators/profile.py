@@ -142,29 +142,49 @@ def value_shares(df: DataFrame, col: str, value) -> DataFrame:
 
 # --- A15 / R05: column profile ---------------------------------------------
 
-def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per column: type, non-NULL count, NULLs, zeros, exact distinct count.
+def value_counts_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, n): rows per value of every column, values as text.
 
-    One wide aggregation (count / count_if / count_distinct per column), then
-    an unpivot of the single result row.
+    One unpivot and one grouped count with map-side partial aggregation; a hot
+    value collapses before the shuffle. Floating zeros are normalised (-0.0 is
+    0.0) so distinct texts are distinct values. Shared by A15 and R05.
     """
     cols = list(cols or df.columns)
-    types = dict(df.dtypes)
-    aggs = []
+    vals = []
     for c in cols:
         x = F.col(c)
-        numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        zero = F.sum(F.when(x == 0, 1).otherwise(0)) if numeric else F.lit(0)
-        aggs += [F.count(x).alias(f"{c}__n"), F.sum(x.isNull().cast("long")).alias(f"{c}__null"),
-                 zero.cast("long").alias(f"{c}__zero"),
-                 F.count_distinct(x).alias(f"{c}__nunique")]
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                 F.col(f"{c}__n").alias("non_null"), F.col(f"{c}__null").alias("nulls"),
-                 F.col(f"{c}__zero").alias("zeros"),
-                 F.col(f"{c}__nunique").alias("n_unique")) for c in cols])).alias("p")
-    ).select("p.*")
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            x = F.when(x == 0, F.lit(0.0)).otherwise(x)
+        vals.append(x.cast("string"))
+    u = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in zip(cols, vals)])
+    ).alias("_u")).select("_u.column", "_u.value")
+    return u.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
+    """Per column: type, non-NULL count, NULLs, zeros, exact distinct count.
+
+    Everything comes from the (column, value, n) counts: distinct = number of
+    non-NULL value groups, zeros = rows whose value is numerically 0 (numeric
+    columns only). No per-column COUNT(DISTINCT) expansion of the rows.
+    """
+    cols = list(cols or df.columns)
+    counts = counts if counts is not None else value_counts_long(df, cols)
+    types = dict(df.dtypes)
+    numeric = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
+    v, n = F.col("value"), F.col("n")
+    is_zero = F.col("column").isin(*numeric) & (F.expr("try_cast(value AS double)") == 0) \
+        if numeric else F.lit(False)
+    prof = counts.groupBy("column").agg(
+        F.sum(F.when(v.isNotNull(), n).otherwise(0)).cast("long").alias("non_null"),
+        F.sum(F.when(v.isNull(), n).otherwise(0)).cast("long").alias("nulls"),
+        F.sum(F.when(is_zero, n).otherwise(0)).cast("long").alias("zeros"),
+        F.count(v).alias("n_unique"))
+    dtype = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
+    return prof.select("column", dtype[F.col("column")].alias("dtype"), "non_null", "nulls",
+                       "zeros", "n_unique")
 
 
 def top_k_per_group(counts: DataFrame, group: str, order: Sequence[Column], k: int,
@@ -181,13 +201,12 @@ def top_k_per_group(counts: DataFrame, group: str, order: Sequence[Column], k: i
              .where(F.col("rank") <= k))
 
 
-def top_values(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5) -> DataFrame:
+def top_values(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5,
+               counts: DataFrame | None = None) -> DataFrame:
     """The k most frequent non-NULL values of each column (value as text).
     Ties break by the value text, ascending."""
-    cols = list(cols or df.columns)
-    u = unpivot_values(df, cols, "column", "value", as_string=True).where(
-        F.col("value").isNotNull())
-    counts = u.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts if counts is not None else value_counts_long(df, cols)
+    counts = counts.where(F.col("value").isNotNull())
     return top_k_per_group(counts, "column", [F.col("n").desc(), F.col("value")], k,
                            F.col("value")).select("column", "rank", "value", "n")
 
