@@ -235,3 +235,23 @@ def constant_mean_baseline(test: DataFrame, train_rates: DataFrame, threshold: f
 def constant_score(long: DataFrame, value: float = 0.5) -> DataFrame:
     """A constant score for every row (AUC 0.5 per label)."""
     return long.withColumn("proba", F.lit(float(value)))
+
+
+def metric_table(long: DataFrame, row_cols: Sequence[str], target: str = "target") -> DataFrame:
+    """M02 + M03 + M04 as the reference's table: one row per metric (Accuracy,
+    Precision, Recall, F1, ROC AUC) with micro / macro / average columns;
+    'average' is the support-weighted average (subset accuracy for Accuracy,
+    whose micro and macro cells are -1)."""
+    scores = averaged_scores(confusion(long, target))
+    auc = roc_auc(long, target).select(F.lit("roc_auc").alias("metric"), "average",
+                                       F.col("roc_auc").alias("value"))
+    acc = subset_accuracy(long, row_cols)
+    acc_rows = acc.select(F.explode(F.array(
+        F.struct(F.lit("micro").alias("average"), F.lit(-1.0).alias("value")),
+        F.struct(F.lit("macro").alias("average"), F.lit(-1.0).alias("value")),
+        F.struct(F.lit("weighted").alias("average"), F.col("accuracy").alias("value")))
+    ).alias("r")).select(F.lit("accuracy").alias("metric"), "r.average", "r.value")
+    allr = scores.unionByName(auc).unionByName(acc_rows)
+    # At most 5 x 3 cells: the pivot is a tiny aggregation.
+    return (allr.groupBy("metric").pivot("average", ["micro", "macro", "weighted"])
+                .agg(F.first("value")).withColumnRenamed("weighted", "average"))

@@ -204,15 +204,19 @@ def transitions_long(df: DataFrame, products: Sequence[str], id_col: str = "id",
 
 def transition_table(df: DataFrame, products: Sequence[str], id_col: str = "id",
                      order_col: str = "fetch_date") -> DataFrame:
-    """Counts of 0->0, 0->1, 1->0, 1->1 and their share of comparable cells.
-
-    Comparable cells are pairs with both values present (A08).
+    """Counts of 0->0, 0->1, 1->0, 1->1 and their share of the comparable
+    cells (A08: non-NULL cells minus each client's first non-NULL row per
+    product), the reference's denominator. Without NULL gaps this equals the
+    number of consecutive pairs.
     """
+    from .profile import comparable_cells
     t = transitions_long(df, products, id_col, order_col).where(
         F.col("prev").isNotNull() & F.col("cur").isNotNull())
     counts = t.groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()  # at most four rows after the aggregation
-    return counts.select("prev", "cur", "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
+    comp = comparable_cells(df, products, id_col).withColumn("_k", F.lit(0))
+    # One-row denominator joined on a constant key (a broadcast of one row).
+    j = counts.withColumn("_k", F.lit(0)).join(F.broadcast(comp), "_k")
+    return j.select("prev", "cur", "n", (F.col("n") / F.col("comparable_cells")).alias("share"))
 
 
 def period_totals(df: DataFrame, products: Sequence[str],

@@ -119,7 +119,11 @@ def _sql_transitions(products, src):
     pairs = " UNION ALL ".join(
         f"SELECT lag({p}) OVER (PARTITION BY id ORDER BY fetch_date) AS prev, {p} AS cur FROM {src}"
         for p in products)
-    return f"""SELECT prev, cur, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+    comp = ("SELECT sum(" + " + ".join(f"c_{p} - CASE WHEN c_{p} > 0 THEN 1 ELSE 0 END"
+                                       for p in products)
+            + ") FROM (SELECT id, " + ", ".join(f"count({p}) AS c_{p}" for p in products)
+            + f" FROM {src} GROUP BY id)")
+    return f"""SELECT prev, cur, count(*) AS n, round(count(*) / ({comp}), 6) AS share
       FROM ({pairs}) WHERE prev IS NOT NULL AND cur IS NOT NULL GROUP BY prev, cur"""
 
 
@@ -188,3 +192,10 @@ def f16_percent_shares(spark, sf):
     t = P.transition_table(S.order_panel(spark, sf), OP)
     return t.select("prev", "cur", F.format_string("%.2f%%", F.round("share", 6) * 100)
                     .alias("share_text"))
+
+
+@query("w08_transition_table_with_nulls", with_ctes(_sql_transitions(OP, "snapshot"), "snapshot"))
+def w08_transition_table_with_nulls(spark, sf):
+    """W08 on the snapshot, whose large-order flag has NULL gaps (share over A08)."""
+    t = P.transition_table(S.snapshot(spark, sf), OP)
+    return t.select("prev", "cur", "n", r6("share").alias("share"))
