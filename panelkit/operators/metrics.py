@@ -135,7 +135,8 @@ def roc_auc(long: DataFrame, target: str = "target") -> DataFrame:
     """
     from pyspark import StorageLevel
     g = score_groups(long, [target]).persist(StorageLevel.MEMORY_AND_DISK)
-    per = roc_auc_per_target(g, target, grouped=True)
+    # One row per label; read twice (averages, valid-label filter): keep it.
+    per = roc_auc_per_target(g, target, grouped=True).persist(StorageLevel.MEMORY_AND_DISK)
     macro = per.agg(F.avg("auc").alias("macro"),
                     (F.sum(F.col("auc") * F.col("P")) / F.sum("P")).alias("weighted"))
     # Pool the valid labels' score groups (not the rows) for the micro average.

@@ -83,10 +83,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
     row), then ranked with ``running_sums``; each requested position picks the
     value whose cumulative range covers it. Returns (keys..., p, q).
     """
+    from pyspark import StorageLevel
     keys = list(keys or [])
+    # Distinct values with their counts: read by the bounds, the range windows
+    # and the totals, so they are kept (at most one row per distinct value).
     counts = (df.where(F.col(value).isNotNull())
                 .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-                .agg(F.count(F.lit(1)).alias("_n")))
+                .agg(F.count(F.lit(1)).alias("_n"))).persist(StorageLevel.MEMORY_AND_DISK)
     ranked = running_sums(counts, keys, "_v", False, ["_n"], buckets=buckets)
     ranked = ranked.select(*keys, "_v", (F.col("cum__n") - F.col("_n")).alias("_lo"),
                            F.col("cum__n").alias("_hi"))
@@ -95,23 +98,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
                         "_total")
     req = req.select(*keys, "p", (F.col("p") * (F.col("_total") - 1)).alias("_h"))
     req = req.select(*keys, "p", "_h", F.floor("_h").alias("_i0"), F.ceil("_h").alias("_i1"))
-    # Requests are (keys x len(probs)) rows: broadcast is size-bounded.
+    # Requests are (keys x len(probs)) rows: broadcast is size-bounded. One range
+    # join finds the values covering both neighbouring positions of each request.
     r = F.broadcast(req.alias("r"))
     x = ranked.alias("x")
-    key_eq = [F.col(f"x.{k}") == F.col(f"r.{k}") for k in keys]
-
-    def pick(idx: str, name: str) -> DataFrame:
-        cond = (F.col("x._lo") <= F.col(f"r.{idx}")) & (F.col(f"r.{idx}") < F.col("x._hi"))
-        for c in key_eq:
-            cond = cond & c
-        return x.join(r, cond).select(*[F.col(f"r.{k}") for k in keys], F.col("r.p"),
-                                      F.col("r._h"), F.col(f"r.{idx}").alias("_i"),
-                                      F.col("x._v").alias(name))
-
-    lo = pick("_i0", "_q0")
-    hi = pick("_i1", "_q1").select(*keys, "p", "_q1")
-    out = lo.join(hi, keys + ["p"])
-    frac = F.col("_h") - F.col("_i")
+    cond = (F.col("x._lo") <= F.col("r._i1")) & (F.col("r._i0") < F.col("x._hi"))
+    for k in keys:
+        cond = cond & (F.col(f"x.{k}") == F.col(f"r.{k}"))
+    hit = x.join(r, cond).select(*[F.col(f"r.{k}").alias(k) for k in keys], "r.p", "r._h",
+                                 "r._i0", "r._i1", "x._v", "x._lo", "x._hi")
+
+    def covers(i):
+        return (F.col("_lo") <= F.col(i)) & (F.col(i) < F.col("_hi"))
+
+    out = hit.groupBy(*keys, "p", "_h", "_i0").agg(
+        F.max(F.when(covers("_i0"), F.col("_v"))).alias("_q0"),
+        F.max(F.when(covers("_i1"), F.col("_v"))).alias("_q1"))
+    frac = F.col("_h") - F.col("_i0")
     return out.select(*keys, "p", (F.col("_q0") + frac * (F.col("_q1") - F.col("_q0"))).alias("q"))
 
 

@@ -387,7 +387,10 @@ def _a30_sql():
 def a30_association(spark, sf):
     """A30 + R06: chi-square and Cramer's V of feature pairs on a seeded sample."""
     s = _snap(spark, sf).withColumn("age", X.to_int("age"))
-    sample = A.hash_sample(s, A30_SAMPLE, ["id", "fetch_date"], 42)
+    from pyspark import StorageLevel
+    # The sample feeds two binning passes and the contingency counts: keep it.
+    sample = A.hash_sample(s, A30_SAMPLE, ["id", "fetch_date"], 42).persist(
+        StorageLevel.MEMORY_AND_DISK)
     coded = A.binned(A.binned(sample, "income", 10), "age", 10)
     coded = coded.withColumn("province_code", F.col("province_code").cast("string"))
     r = A.association(coded, A30_PAIRS)
