@@ -8,7 +8,6 @@ merge) so a high-cardinality column never lands in one task.
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -433,6 +432,3 @@ def append_total(df: DataFrame, label_col: str, value_cols: Sequence[str],
     return df.select(F.col(label_col).cast("string").alias(label_col), *value_cols) \
              .unionByName(total)
 
-
-def round_half(x: float) -> int:
-    return int(math.floor(x + 0.5))

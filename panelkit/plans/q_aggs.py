@@ -396,3 +396,38 @@ def a30_association(spark, sf):
     r = A.association(coded, A30_PAIRS)
     return r.select("pair", F.col("n").cast("long").alias("n"), r6("chi2").alias("chi2"),
                     r6("cramers_v").alias("cramers_v"))
+
+
+@query("a10_category_sizes_province", with_ctes(
+    "SELECT province_code, count(*) AS n FROM snapshot WHERE province_code IS NOT NULL "
+    "GROUP BY province_code", "snapshot"))
+def a10_category_sizes_province(spark, sf):
+    """A10 + R01: province sizes, descending, NULL group dropped."""
+    return A.category_sizes(_snap(spark, sf), "province_code").orderBy(F.desc("n"))
+
+
+@query("a11_value_counts_activity", with_ctes(
+    "SELECT client_activity_1m, count(*) AS n FROM snapshot GROUP BY client_activity_1m",
+    "snapshot"))
+def a11_value_counts_activity(spark, sf):
+    """Value counts of the activity code, NULL kept."""
+    return A.category_sizes(_snap(spark, sf), "client_activity_1m", keep_null=True)
+
+
+_LOG_LAST_SQL = (f"SELECT id, CASE WHEN income > 0 THEN ln(income) END AS income "
+                 f"FROM ({_LAST_INCOME_SQL})")
+
+
+@query("a22_log_income_histogram", with_ctes(
+    f"""SELECT bin, count(*) AS n, round(min(lo + (bin - 1) * w), 6) AS bin_start FROM (
+      SELECT CASE WHEN hi = lo THEN 1 ELSE
+        CAST(least(floor((income - lo) / w), 99) AS INTEGER) + 1 END AS bin, lo, w
+      FROM ({_LOG_LAST_SQL}) t, (SELECT min(income) AS lo, max(income) AS hi,
+            (max(income) - min(income)) / 100 AS w FROM ({_LOG_LAST_SQL})) r
+      WHERE income IS NOT NULL) GROUP BY bin""", "snapshot"))
+def a22_log_income_histogram(spark, sf):
+    """100 equal-width bins of each client's last income after the log."""
+    last = A.last_non_null(_snap(spark, sf), "income")
+    logged = last.select("id", X.log_or_null("income").alias("income"))
+    h = A.equal_width_histogram(logged, "income", 100)
+    return h.select("bin", "n", r6("bin_start").alias("bin_start"))

@@ -94,9 +94,6 @@ def p07_equality_filter(spark, sf):
     return P.keep_equal(S.nullable(spark, sf), "l_returnflag", "N")
 
 
-_SNAP_COLS = None
-
-
 def _snap_nulls_sql():
     from .q_aggs import SNAPSHOT_DTYPES
     return " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c, _ in SNAPSHOT_DTYPES)
