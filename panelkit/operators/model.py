@@ -24,6 +24,7 @@ from .features import FeatureEncoder, FittedFeatures
 
 DEFAULT_MAX_ITER = 20
 DEFAULT_MAX_DEPTH = 4
+ROWS_PER_PARTITION = 200_000
 
 
 def class_weight_column(label: str, weights: tuple[float, float] | str,
@@ -131,8 +132,17 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
     # The fitted constants take several passes over the train rows: keep them
     # (memory, spilling to disk) instead of re-deriving labels for every pass.
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = train.count()
     feats = FeatureEncoder(products).fit(train)
-    assembled = feats.assemble(feats.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
+    assembled = feats.assemble(feats.transform(train))
+    # Boosting runs several small jobs per iteration over this frame: one
+    # partition per task slot, or per ROWS_PER_PARTITION rows when larger, is
+    # enough; a narrow coalesce trims the shuffle-sized partition count.
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    target = max(slots, -(-n_rows // ROWS_PER_PARTITION))
+    if assembled.rdd.getNumPartitions() > target:
+        assembled = assembled.coalesce(target)
+    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     kept = varying_targets(assembled, targets)
     pos = {}
     if weights == "balanced":

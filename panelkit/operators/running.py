@@ -22,8 +22,12 @@ MAX_BOUND_ENTRIES = 2_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4, n)
+    """Range buckets per key: the shuffle partition count, capped at four per
+    task slot (more ranges than that add tasks, not parallelism)."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    slots = spark.sparkContext.defaultParallelism
+    return max(4, min(n, 4 * slots))
 
 
 def _bucket_of(value: Column, bounds: Column, descending: bool) -> Column:

@@ -19,6 +19,17 @@ def _split(spark, sf):
     return P.split_by_date(S.snapshot(spark, sf), S.ORDER_SPLIT_DATE)
 
 
+_FITTED: dict = {}
+
+
+def _fitted(spark, sf) -> FE.FittedFeatures:
+    """Encoders fitted on the train split, memoised per application and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = FE.FeatureEncoder(OP).fit(_split(spark, sf)[0])
+    return _FITTED[key]
+
+
 def _toint(e):
     return f"TRY_CAST(TRY_CAST(trim(CAST({e} AS VARCHAR)) AS DOUBLE) AS INTEGER)"
 
@@ -66,7 +77,7 @@ def _rounded(df):
 def f17_process_frame(spark, sf):
     """the full per-row feature step on test rows, median fitted on train."""
     train, test = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     return _rounded(FE.process_frame(test, OP, fitted.median_log_income))
 
 
@@ -83,7 +94,7 @@ def _minmax_sql():
 def e01_min_max_scaling(spark, sf):
     """Min-max scaling fitted on train (constant column -> 0)."""
     train, test = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     out = fitted.transform(test)
     return _rounded(out.select("id", "fetch_date", *NUMERICAL_COLUMNS))
 
@@ -103,7 +114,7 @@ def _categories_sql():
 def e02_one_hot_categories(spark, sf):
     """Fitted one-hot categories in sorted order; the first is dropped."""
     train, _ = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     rows = []
     types = dict(FE.process_frame(train, OP, 0.0).dtypes)
     for c in ONE_HOT_COLUMNS:
@@ -119,7 +130,7 @@ def e02_one_hot_categories(spark, sf):
 def e02_one_hot_encoded(spark, sf):
     """Drop-first one-hot columns of the test rows (gender shown)."""
     train, test = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     out = fitted.transform(test)
     proc = FE.process_frame(test, OP, fitted.median_log_income).select("id", "fetch_date", "gender")
     return proc.join(out.select("id", "fetch_date", "gender_V"), ["id", "fetch_date"])
@@ -142,7 +153,7 @@ def _freq_sql():
 def e03_frequency_encoding(spark, sf):
     """Frequency encoding fitted on train; unseen values encode to 0."""
     train, test = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     out = fitted.transform(test)
     return _rounded(out.select("id", "fetch_date", "entry_channel_freq", "province_code_freq"))
 
@@ -152,7 +163,7 @@ def e04_assembled_features(spark, sf):
     """E04 + E05: fit on train, transform and assemble test rows into one vector."""
     from pyspark.ml.functions import vector_to_array
     train, test = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     a = fitted.assemble(fitted.transform(test))
     return a.select("id", "fetch_date", vector_to_array("features").alias("features"))
 
@@ -161,6 +172,6 @@ def e04_assembled_features(spark, sf):
 def e12_feature_names(spark, sf):
     """Feature names after encoding, in assembled order."""
     train, _ = _split(spark, sf)
-    fitted = FE.FeatureEncoder(OP).fit(train)
+    fitted = _fitted(spark, sf)
     return spark.createDataFrame(list(enumerate(fitted.feature_names)),
                                  "position int, feature string")
