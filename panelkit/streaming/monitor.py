@@ -130,8 +130,8 @@ def throttled_gauge(events: DataFrame, every: str = "10 seconds", series: str =
 def elapsed(events: DataFrame, series: str = "target") -> DataFrame:
     """Q09: seconds from each series' first event to its latest."""
     g = events.groupBy(series).agg(F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
-    return g.select(series, (F.unix_micros("_t1") - F.unix_micros("_t0")).cast("double")
-                    .__truediv__(1e6).alias("elapsed_seconds"))
+    micros = (F.unix_micros("_t1") - F.unix_micros("_t0")).cast("double")
+    return g.select(series, (micros / F.lit(1e6)).alias("elapsed_seconds"))
 
 
 def run_to_parquet(stream: DataFrame, out_dir: str, mode: str = "append",
