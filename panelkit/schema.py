@@ -170,18 +170,30 @@ def product_columns(columns, prefix: str = PRODUCT_PREFIX) -> list[str]:
     return [c for c in columns if c.startswith(prefix)]
 
 
-def snapshot_schema() -> T.StructType:
-    """48-field declared schema of the client-month snapshot."""
+def snapshot_schema(raw: bool = False) -> T.StructType:
+    """48-field declared schema of the client-month snapshot.
+
+    ``raw=True`` is the CSV read schema: product flags are read as DOUBLE
+    because two of them are written as floats ("0.0"), which an INT field
+    would turn into NULL; ``cast_products`` makes them INT afterwards.
+    """
     fields = []
     for name in column_names():
         if name.startswith(PRODUCT_PREFIX):
-            dtype = T.IntegerType()
+            dtype = T.DoubleType() if raw else T.IntegerType()
         else:
             dtype = _TYPES.get(name, _STRING)
         fields.append(T.StructField(name, dtype, True))
     return T.StructType(fields)
 
 
+def cast_products(df: DataFrame, prefix: str = PRODUCT_PREFIX) -> DataFrame:
+    """Product flags to INT after a raw read (NULL stays NULL)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(c).cast("int").alias(c) if c.startswith(prefix) else F.col(c)
+                       for c in df.columns])
+
+
 def product_dim(spark: SparkSession, rows=None) -> DataFrame:
     """Product dimension (column, name_ru, name_en); 24 rows by default."""
     rows = rows if rows is not None else PRODUCT_NAMES

@@ -63,9 +63,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
                    schema: T.StructType, partition_by: list[str] | None = ("fetch_date",),
-                   date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Typed CSV scan, then a Parquet table partitioned by period."""
+                   date_format: str = "yyyy-MM-dd", post=None) -> DataFrame:
+    """Typed CSV scan, then a Parquet table partitioned by period.
+
+    ``post`` is applied between the scan and the write (e.g.
+    ``schema.cast_products`` after a ``snapshot_schema(raw=True)`` read).
+    """
     df = read_csv_typed(spark, csv_path, schema, date_format)
+    if post is not None:
+        df = post(df)
     write_parquet(df, parquet_path, list(partition_by) if partition_by else None, ["id"])
     return read_parquet(spark, parquet_path)
 

@@ -106,3 +106,20 @@ def test_csv_positional_rename_keeps_padding(spark, tmp_path):
     back = IO.read_csv_typed(spark, path, schema)
     assert back.columns == ["id", "age", "fetch_date"]
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_float_written_products_read_as_int(spark, tmp_path):
+    from panelkit import schema
+    from panelkit.sources import io as IO
+    header = ",".join(src for src, _ in schema.SOURCE_TO_NAME)
+    vals = ["2016-04-28", "464063", "N", "ES", "H", " 64", "2004-03-15", "0", "    145", "1",
+            "", "1.0", "A", "S", "N", "", "KAB", "N", "1", "50", "ZARAGOZA", "1", "217094.52",
+            "02 - PARTICULARES"] + ["0"] * 21 + ["1.0", "0.0", "1"]
+    path = tmp_path / "raw.csv"
+    path.write_text(header + "\n" + ",".join(vals) + "\n")
+    t = IO.csv_to_parquet(spark, str(path), str(tmp_path / "pq"), schema.snapshot_schema(raw=True),
+                          post=schema.cast_products)
+    r = t.first()
+    assert r.ind_1m_salary_acc == 1 and r.ind_1m_pension_obligation_account == 0
+    assert r.ind_1m_debit_account == 1 and r.age == " 64" and r.tenure_months == "    145"
+    assert dict(t.dtypes)["ind_1m_salary_acc"] == "int"
