@@ -97,7 +97,7 @@ class FittedFeatures:
         for c in NUMERICAL_COLUMNS:
             lo, hi = self.minmax[c]
             x = F.col(c).cast("double")
-            # sklearn maps a constant column to 0 (Spark ML would give 0.5, X8).
+            # A constant column scales to 0 (Spark ML MinMaxScaler would give 0.5, X8).
             cols.append((F.lit(0.0) if hi == lo else (x - F.lit(lo)) / F.lit(hi - lo)).alias(c))
         for c in ONE_HOT_COLUMNS:
             cats = self.categories[c]
