@@ -162,14 +162,21 @@ def value_counts_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
 
 
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
-                   counts: DataFrame | None = None) -> DataFrame:
+                   counts: DataFrame | None = None, approx: bool = False,
+                   rsd: float = 0.01) -> DataFrame:
     """Per column: type, non-NULL count, NULLs, zeros, exact distinct count.
 
     Everything comes from the (column, value, n) counts: distinct = number of
     non-NULL value groups, zeros = rows whose value is numerically 0 (numeric
     columns only). No per-column COUNT(DISTINCT) expansion of the rows.
+
+    ``approx=True`` is one scan with fixed-size state instead: counts are exact,
+    the distinct count is HyperLogLog++ (relative error ``rsd``); nothing per
+    distinct value is materialised, which matters for id-like columns at scale.
     """
     cols = list(cols or df.columns)
+    if approx:
+        return _approx_profile(df, cols, rsd)
     counts = counts if counts is not None else value_counts_long(df, cols)
     types = dict(df.dtypes)
     numeric = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -186,6 +193,25 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None,
                        "zeros", "n_unique")
 
 
+def _approx_profile(df: DataFrame, cols: Sequence[str], rsd: float) -> DataFrame:
+    types = dict(df.dtypes)
+    aggs = []
+    for c in cols:
+        x = F.col(c)
+        numeric = isinstance(df.schema[c].dataType, T.NumericType)
+        zero = F.sum(F.when(x == 0, 1).otherwise(0)) if numeric else F.lit(0)
+        aggs += [F.count(x).alias(f"{c}__n"), F.sum(x.isNull().cast("long")).alias(f"{c}__null"),
+                 zero.cast("long").alias(f"{c}__zero"),
+                 F.approx_count_distinct(x, rsd).alias(f"{c}__nunique")]
+    wide = df.agg(*aggs)
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
+                 F.col(f"{c}__n").alias("non_null"), F.col(f"{c}__null").alias("nulls"),
+                 F.col(f"{c}__zero").alias("zeros"),
+                 F.col(f"{c}__nunique").alias("n_unique")) for c in cols])).alias("p")
+    ).select("p.*")
+
+
 def top_k_per_group(counts: DataFrame, group: str, order: Sequence[Column], k: int,
                     salt_of: Column, buckets: int = 64) -> DataFrame:
     """Exact top-k rows per ``group`` in two stages: top-k within

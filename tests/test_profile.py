@@ -90,3 +90,15 @@ def test_hot_key_is_split_across_buckets(spark):
     g = pdf[pdf.k == "hot"].sort_values("v", ascending=False)
     got = out[out.k == "hot"].sort_values("v", ascending=False)["cum_w"].to_numpy()
     assert (g["w"].cumsum().to_numpy() == got).all()
+
+
+def test_approx_profile_close_to_exact(spark, sf_small):
+    from panelkit.sources import standins as S
+    snap = S.snapshot(spark, sf_small)
+    exact = {r.column: r for r in A.column_profile(snap).collect()}
+    approx = {r.column: r for r in A.column_profile(snap, approx=True).collect()}
+    assert set(exact) == set(approx)
+    for c, e in exact.items():
+        a = approx[c]
+        assert (a.non_null, a.nulls, a.zeros, a.dtype) == (e.non_null, e.nulls, e.zeros, e.dtype)
+        assert abs(a.n_unique - e.n_unique) <= max(2, 0.05 * e.n_unique)
