@@ -56,7 +56,10 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
 
 
 def strings(column: pa.Array) -> pa.Array:
-    """The column as large strings with null as empty text."""
+    """The column as large strings with null as empty text, in buffers of its own: some Arrow
+    functions (``ascii_lower``) read past a slice."""
+    if column.offset:
+        column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
