@@ -54,7 +54,7 @@ def test_bundle_is_the_sum_of_bound_trigrams():
 
 
 def test_targets_are_capped_and_reshared():
-    assert mixing.share_targets([10, 10, 100], [1, 2, 3]) == [30.0, 30.0, 60.0]
+    assert mixing.share_targets([10, 10, 100], [1, 2, 3]) == [22.5, 30.0, 67.5]
     got = mixing.share_targets([1, 50, 50], [3, 1, 1])
     assert got == [3.0, 49.0, 49.0]
     assert mixing.share_targets([0, 10], [1, 1]) == [0.0, 10.0]
