@@ -34,7 +34,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

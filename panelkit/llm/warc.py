@@ -6,7 +6,8 @@
 2. Of equal payloads of at least ``least_bytes`` the smallest page_id is the response, the
    others revisit it; the table of digests is pre-aggregated before its shuffle.
 3. ``write_archives``: the chunks of a record meet in one task, in order, and are streamed
-   into a gzip member; no task holds a whole payload. A revisit needs only its first row.
+   into a gzip member; no task holds a whole payload. A row before the first chunk brings the
+   headers, so chunks are shuffled once and never joined.
    Every task writes one file of its own name; a manifest committed by Spark lists the
    files that count, so a task run again does no harm.
 4. ``read_archives``: each file is read member by member in blocks; digests and lengths are
@@ -83,15 +84,15 @@ def _chunks(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def record_types(chunks: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
-    """Per record: payload_bytes, payload_digest, record_type and refers_to."""
-    whole = chunks.where("last").select("record", "page_id", F.col("upto_bytes").alias("payload_bytes"),
+    """Per record: page_id, url, payload_bytes, payload_digest, record_type and refers_to."""
+    whole = chunks.where("last").select("record", "page_id", "url", F.col("upto_bytes").alias("payload_bytes"),
                                         F.col("upto_digest").alias("payload_digest"))
     groups = (whole.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest")
               .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
               .select(F.col("payload_digest").alias("digest"), "first_id"))
     typed = whole.join(groups, F.col("payload_digest") == F.col("digest"), "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return typed.select(F.col("record").alias("of"), "payload_bytes", "payload_digest",
+    return typed.select("record", "page_id", "url", "payload_bytes", "payload_digest",
                         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
                         F.when(revisit, F.col("first_id")).alias("refers_to"))
 
@@ -122,33 +123,36 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
                    level: int = 1) -> DataFrame:
     """Write one WARC record per page; returns the committed manifest of archive files."""
     chunks = materialise(chunk_table(pages, chunk_bytes, id_col, url_col, html_col), "warc-chunks")
-    types = record_types(chunks, least_bytes)
-    rows = chunks.join(types, F.col("record") == F.col("of")).drop("of")
-    rows = rows.where((F.col("record_type") == "response") | F.col("last"))
-    rows = rows.withColumn("data", F.when(F.col("record_type") == "response", F.col("data")))
+    # one shuffle: the head of a record comes as row -1 before its chunks
+    heads = record_types(chunks, least_bytes)
+    head = F.struct("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    heads = heads.select("record", F.lit(-1).alias("chunk_no"), F.lit(False).alias("last"),
+                         F.lit(None).cast("binary").alias("data"), head.alias("head"))
+    rows = chunks.select("record", "chunk_no", "last", "data", F.lit(None).cast(heads.schema["head"].dataType).alias("head"))
+    rows = rows.unionByName(heads)
     total = chunks.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     n_files = max(int(total // FILE_BYTES) + 1, chunks.rdd.getNumPartitions())
     rows = rows.repartition(n_files, "record").sortWithinPartitions("record", "chunk_no")
 
     def write(batches):
-        sink, n_bytes, n_records, zip_ = None, 0, 0, None
+        sink, n_bytes, n_records, zip_, full = None, 0, 0, None, False
         for batch in batches:
-            columns = {c: batch.column(c) for c in batch.schema.names}
+            numbers, lasts = batch.column("chunk_no").to_pylist(), batch.column("last").to_pylist()
             for k in range(batch.num_rows):
-                row = {c: columns[c][k].as_py() for c in columns}
                 if sink is None:
                     name = join(folder, f"part-{uuid.uuid4().hex}.warc.gz")
                     system, local = filesystem(name)
                     sink = system.open_output_stream(local, compression=None, buffer_size=1 << 20)
                 pieces = []
-                if zip_ is None:
-                    zip_ = zlib.compressobj(level, zlib.DEFLATED, 31)
+                if numbers[k] == -1:
+                    row = batch.column("head")[k].as_py()
+                    full, zip_ = row["record_type"] == "response", zlib.compressobj(level, zlib.DEFLATED, 31)
                     pieces.append(zip_.compress(record_head(row, date)))
-                if row["data"]:
-                    pieces.append(zip_.compress(row["data"]))
-                if row["last"]:
+                elif full:
+                    pieces.append(zip_.compress(batch.column("data")[k].as_buffer()))
+                if lasts[k]:
                     pieces.append(zip_.compress(b"\r\n\r\n") + zip_.flush())
-                    zip_, n_records = None, n_records + 1
+                    n_records += 1
                 for data in pieces:
                     sink.write(data)
                     n_bytes += len(data)
