@@ -3,9 +3,9 @@
 ``process_frame`` is the reference's per-row feature step as one ``select``.
 ``FeatureEncoder.fit`` computes the small fitted constants on the train rows
 (min / max per numeric column, sorted category lists, the median of log
-income) and keeps the frequency tables as DataFrames; ``transform`` is pure
-expressions plus size-checked lookups, so scoring never needs the train data
-again. Fitted constants are the only values brought to the driver.
+income) and writes the frequency tables; ``transform`` is pure
+expressions plus size-checked lookups of written tables, so scoring never needs the
+train data again. Fitted constants are the only values brought to the driver.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions import scalars as X
 from ..schema import (DROP_COLUMNS, FILL_VALUES, FREQ_ENCODE_COLUMNS, INT_COLUMNS,
                       NUMERICAL_COLUMNS, ONE_HOT_COLUMNS, SEGMENT_CODES, SEGMENT_NULL_CODE)
+from ..session import scratch_dir
 from . import lookup as L
 from .profile import median as exact_median
 
@@ -145,13 +146,14 @@ class FeatureEncoder:
     """Fit on train rows, transform any frame (batch, request, stream)."""
 
     def __init__(self, products: Sequence[str], freq_columns: Sequence[str] = FREQ_ENCODE_COLUMNS,
-                 map_p_to_5: bool = False):
+                 map_p_to_5: bool = False, max_categories: int = MAX_CATEGORIES):
+        """``max_categories``: most categories that one column may turn into columns."""
+        self.max_categories = max_categories
         self.products = list(products)
         self.freq_columns = list(freq_columns)
         self.map_p_to_5 = map_p_to_5
 
     def fit(self, train: DataFrame) -> FittedFeatures:
-        base = process_frame(train, self.products, None, self.map_p_to_5)
         med = exact_median(
             train.select(X.log_or_null("income").alias("li")), "li").first()
         median_log_income = float(med[0]) if med and med[0] is not None else 0.0
@@ -169,22 +171,29 @@ class FeatureEncoder:
         cat_rows = processed.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
             for c in ONE_HOT_COLUMNS])).alias("x")).select("x.*").distinct()
-        n = cat_rows.count()
-        if n > MAX_CATEGORIES * len(ONE_HOT_COLUMNS):
-            raise ValueError(f"{n} one-hot categories: too many to encode as columns")
+        limit = self.max_categories * len(ONE_HOT_COLUMNS)
         categories: dict = {c: [] for c in ONE_HOT_COLUMNS}
-        for r in cat_rows.collect():
+        for r in cat_rows.limit(limit + 1).collect():
             categories[r["c"]].append(r["v"])
+        for c, found in categories.items():
+            if len(found) > self.max_categories:
+                raise ValueError(f"{c}: more than {self.max_categories} one-hot categories")
         types = dict(processed.dtypes)
         for c in ONE_HOT_COLUMNS:
             numeric = types[c] in ("int", "bigint", "double")
             vals = [float(v) if numeric else v for v in categories[c]]
             vals.sort()
             categories[c] = [int(v) if numeric and float(v).is_integer() else v for v in vals]
-        freq = {c: L.frequency_table(processed, c) for c in self.freq_columns}
+        # The tables are written, so scoring reads them and not the train rows.
+        freq = {}
+        for c in self.freq_columns:
+            path = scratch_dir(train.sparkSession, f"freq-{c}")
+            L.frequency_table(processed, c).write.parquet(path)
+            freq[c] = train.sparkSession.read.parquet(path)
+        processed.unpersist()
         used = set(NUMERICAL_COLUMNS) | set(ONE_HOT_COLUMNS) | set(self.freq_columns)
-        numeric = {f.name for f in base.schema.fields if isinstance(f.dataType, T.NumericType)}
-        passthrough = [c for c in base.columns if c not in used and not c.startswith("target__")
+        numeric = {f.name for f in processed.schema.fields if isinstance(f.dataType, T.NumericType)}
+        passthrough = [c for c in processed.columns if c not in used and not c.startswith("target__")
                        and c not in ("id", "fetch_date") and c in numeric]
         fitted = FittedFeatures(median_log_income, minmax, categories, self.freq_columns,
                                 passthrough, self.products, freq)

@@ -6,8 +6,8 @@ row -- and take running totals with ``running.running_sums``, so a target
 with most of the rows is still spread over many tasks.
 
 Conventions follow the reference's library calls: zero division gives 0;
-ROC AUC leaves out labels with one class; the PR curve stops at the first
-threshold reaching full recall and ends with (precision 1, recall 0); the
+ROC AUC leaves out labels with one class; the PR curve keeps every distinct
+threshold and ends with (precision 1, recall 0); the
 ROC curve keeps every distinct threshold (the area is the same as with
 collinear points dropped).
 """
@@ -40,13 +40,13 @@ def confusion(long: DataFrame, target: str = "target") -> DataFrame:
                                     cnt((y == 0) & (p == 0)).alias("tn"))
 
 
-def per_target(conf: DataFrame, target: str = "target") -> DataFrame:
-    """Precision, recall, F1, true and predicted counts per target."""
+def per_target(conf: DataFrame, target: str = "target", keep: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall, F1, true and predicted counts per target (and ``keep``)."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return conf.select(target, _div0(tp, tp + fp).alias("precision"),
                        _div0(tp, tp + fn).alias("recall"),
                        _div0(2 * tp, 2 * tp + fp + fn).alias("f1"),
-                       (tp + fn).alias("n_true"), (tp + fp).alias("n_pred"))
+                       (tp + fn).alias("n_true"), (tp + fp).alias("n_pred"), *keep)
 
 
 def averaged_scores(conf: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def averaged_scores(conf: DataFrame) -> DataFrame:
     Output is long: (metric, average, value). Targets are few, so this is a
     small second-level aggregation.
     """
-    t = per_target(conf).join(conf.select("target", "tp", "fp", "fn"), "target")
+    t = per_target(conf, keep=("tp", "fp", "fn"))
     w = F.col("n_true").cast("double")
     agg = t.agg(
         F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"),
@@ -177,12 +177,11 @@ def roc_area(long: DataFrame) -> DataFrame:
 
 
 def pr_curve(long: DataFrame, target: str = "target") -> DataFrame:
-    """Per target (threshold, precision, recall) up to full recall, plus
+    """Per target (threshold, precision, recall) at every threshold, plus
     the end point (precision 1, recall 0, threshold NULL). Targets without
     positives are left out."""
     c = _cumulative(long, [target]).where(F.col("P") > 0)
-    kept = c.where(F.col("cum_pos") - F.col("pos") < F.col("P"))
-    pts = kept.select(target, F.col("proba").alias("threshold"),
+    pts = c.select(target, F.col("proba").alias("threshold"),
                       (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                       (F.col("cum_pos") / F.col("P")).alias("recall"))
     ends = c.select(target).distinct().select(

@@ -281,8 +281,8 @@ def describe(df: DataFrame, col: str, percentiles: Sequence[float] = DESCRIBE_PE
     names = [f"p{int(round(p * 100))}" for p in percentiles]
     if exact:
         q = exact_quantiles(df.select(x.alias("_x")), "_x", list(percentiles))
-        q = q.groupBy().pivot("p", [float(p) for p in percentiles]).agg(F.first("q"))
-        q = q.toDF(*names)
+        q = q.agg(*[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n)
+                    for p, n in zip(percentiles, names)])
     else:
         arr = F.percentile_approx(x, list(percentiles), 10000)
         q = df.agg(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -294,7 +294,8 @@ def describe(df: DataFrame, col: str, percentiles: Sequence[float] = DESCRIBE_PE
 def median(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """Median (exact by default, distributed)."""
     if exact:
-        return exact_quantiles(df, col, [0.5]).select(F.col("q").alias("median"))
+        # a global aggregate: one row, NULL where no value is
+        return exact_quantiles(df, col, [0.5]).agg(F.max("q").alias("median"))
     return df.agg(F.percentile_approx(col, 0.5, 10000).alias("median"))
 
 
@@ -402,7 +403,7 @@ def true_vs_predicted(scored: DataFrame) -> DataFrame:
                                         F.sum("yhat").cast("long").alias("n_pred"))
 
 
-# --- A30: association on a sample -------------------------------------------
+# --- A30: association -------------------------------------------
 
 def binned(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bin code (1..bins) of a numeric column, as text."""

@@ -17,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on (distinct keys x buckets) for the broadcast bound tables.
-MAX_BOUND_ENTRIES = 2_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -31,9 +29,22 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def _bucket_of(value: Column, bounds: Column, descending: bool) -> Column:
+    """Range id; NULL values have a range of their own, last if descending, else first
+    (as the sort order has them)."""
     if descending:
-        return F.size(F.filter(bounds, lambda b: b > value))
-    return F.size(F.filter(bounds, lambda b: b < value))
+        n, null = F.size(F.filter(bounds, lambda b: b > value)), F.lit(2**31 - 1)
+    else:
+        n, null = F.size(F.filter(bounds, lambda b: b < value)), F.lit(-1)
+    return F.when(value.isNull(), null).otherwise(n)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which NULLs are equal."""
+    cond = F.lit(True)
+    for k in keys:
+        right = right.withColumnRenamed(k, f"__{k}")
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(right, cond).drop(*[f"__{k}" for k in keys])
 
 
 def with_buckets(df: DataFrame, keys: list[str], order_col: str, descending: bool,
@@ -43,8 +54,8 @@ def with_buckets(df: DataFrame, keys: list[str], order_col: str, descending: boo
     probs = [i / n for i in range(1, n)]
     v = F.col(order_col).cast("double")
     bounds = df.groupBy(*keys).agg(F.percentile_approx(v, probs, accuracy).alias("_bounds"))
-    # One row per key with (n - 1) doubles; the key count is the caller's bound.
-    joined = df.join(F.broadcast(bounds), keys)
+    # One row per key; Spark broadcasts it only below its own size limit.
+    joined = _join_null_safe(df, bounds, keys)
     return joined.withColumn("_bkt", _bucket_of(v, F.col("_bounds"), descending)).drop("_bounds")
 
 
@@ -72,8 +83,7 @@ def running_sums(df: DataFrame, keys: list[str], order_col: str, descending: boo
     w_blk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bkt", *[
         F.coalesce(F.sum(f"_bt_{v}").over(w_blk), F.lit(0)).alias(f"_off_{v}") for v in values])
-    # offsets has at most (keys x buckets) rows: broadcast is size-bounded.
-    out = inner.join(F.broadcast(offsets), keys + ["_bkt"])
+    out = _join_null_safe(inner, offsets, keys + ["_bkt"])
     return out.select(*cols,
                       *[(F.col(f"_in_{v}") + F.col(f"_off_{v}")).alias(f"{prefix}{v}")
                         for v in values])

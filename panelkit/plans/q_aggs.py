@@ -350,15 +350,12 @@ def a29_true_vs_predicted(spark, sf):
     return A.true_vs_predicted(S.scored(spark, sf))
 
 
-A30_PAIRS = [("gender", "client_segment"), ("client_segment", "income"),
-             ("age", "income"), ("province_code", "ind_foreigner")]
-A30_SAMPLE = 100_000
+A30_FEATURES = ["age", "client_segment", "gender", "income", "ind_foreigner", "province_code"]
+A30_PAIRS = [(a, b) for i, a in enumerate(A30_FEATURES) for b in A30_FEATURES[i + 1:]]
 
 
 def _a30_sql():
-    from ..operators.running import md5_sql
-    h = md5_sql(["id", "fetch_date"], 42)
-    base = f"""SELECT *, {_AGE_SQL} AS age_n FROM snapshot ORDER BY {h} LIMIT {A30_SAMPLE}"""
+    base = f"""SELECT *, {_AGE_SQL} AS age_n FROM snapshot"""
 
     def bins(c):
         return (f"CASE WHEN {c} IS NULL THEN NULL WHEN max({c}) OVER () = min({c}) OVER () THEN '1' "
@@ -385,13 +382,9 @@ def _a30_sql():
     "round(CASE WHEN least(r, c) - 1 > 0 THEN sqrt(chi2 / n / (least(r, c) - 1)) END, 6) "
     "AS cramers_v FROM chi", "snapshot", extra=[_a30_sql()]))
 def a30_association(spark, sf):
-    """A30 + R06: chi-square and Cramer's V of feature pairs on a seeded sample."""
+    """Chi-square and Cramer's V of every pair of features, over all rows."""
     s = _snap(spark, sf).withColumn("age", X.to_int("age"))
-    from pyspark import StorageLevel
-    # The sample feeds two binning passes and the contingency counts: keep it.
-    sample = A.hash_sample(s, A30_SAMPLE, ["id", "fetch_date"], 42).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    coded = A.binned(A.binned(sample, "income", 10), "age", 10)
+    coded = A.binned(A.binned(s, "income", 10), "age", 10)
     coded = coded.withColumn("province_code", F.col("province_code").cast("string"))
     r = A.association(coded, A30_PAIRS)
     return r.select("pair", F.col("n").cast("long").alias("n"), r6("chi2").alias("chi2"),

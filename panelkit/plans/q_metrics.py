@@ -82,7 +82,7 @@ def _auc_table(src):
 
 def _pr_points(src):
     return (f"SELECT target, proba AS threshold, cum_pos / (cum_pos + cum_neg) AS precision, "
-            f"cum_pos / P AS recall FROM ({_cum(src)}) WHERE P > 0 AND cum_pos - pos < P")
+            f"cum_pos / P AS recall FROM ({_cum(src)}) WHERE P > 0")
 
 
 # --- queries ------------------------------------------------------------------------
@@ -143,7 +143,7 @@ def m05_roc_area_pooled(spark, sf):
     "SELECT DISTINCT target, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM scored "
     "WHERE target IN (SELECT target FROM scored GROUP BY target HAVING sum(y) > 0)", "scored"))
 def m06_pr_curve(spark, sf):
-    """Precision-recall curve per target (to full recall, plus the end point)."""
+    """Precision-recall curve per target (every threshold, plus the end point)."""
     return _rounded(M.pr_curve(S.scored(spark, sf)))
 
 

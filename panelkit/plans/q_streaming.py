@@ -2,9 +2,8 @@
 
 Each query runs a real Structured Streaming job over the events file (file
 source, available-now trigger) into a Parquet sink under the session's
-checkpoint folder and returns the written table. Append-mode windows are
-final only once the watermark (max ts - 1 hour) passes their end, so the SQL
-twins keep windows with ``end <= max(ts) - 1 hour``.
+checkpoint folder and returns the written table. Windows go through the keyed update sink, so the table holds
+all of them up to the last event.
 """
 
 from __future__ import annotations
@@ -18,13 +17,14 @@ from ..sources import standins as S
 from ..streaming import monitor as Q
 from .catalog import query, r6
 
-_FINAL = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+WINDOW = ["window_start", "window_end"]
 
 
-def _run(spark, sf, build, mode="append", name="stream"):
+def _run(spark, sf, build, keys=None, name="stream"):
+    """The table of a streaming query: keyed updates, or complete mode without keys."""
     out = scratch_dir(spark, name)
-    data = Q.run_to_parquet(build(Q.event_stream(spark, sf)), out, mode)
-    return spark.read.parquet(data)
+    data = Q.run_to_parquet(build(Q.event_stream(spark, sf)), out, "update" if keys else "complete")
+    return Q.latest(spark, data, keys) if keys else spark.read.parquet(data)
 
 
 def _tumbling_sql(minutes, value_sql, group="", where="TRUE"):
@@ -34,22 +34,22 @@ def _tumbling_sql(minutes, value_sql, group="", where="TRUE"):
              time_bucket(INTERVAL '{minutes} minutes', ts) + INTERVAL '{minutes} minutes' AS window_end
              {g}, {value_sql}
       FROM (SELECT ts, event_type AS target, value AS response_time FROM events WHERE {where})
-      GROUP BY 1, 2{g}) WHERE {_FINAL}"""
+      GROUP BY 1, 2{g})"""
 
 
 @query("q01_target_counts_15min", _tumbling_sql(15, "count(*) AS n", "target"))
 def q01_target_counts_15min(spark, sf):
-    """Q01: positive predictions per target, 15-minute tumbling windows (append)."""
-    return _run(spark, sf, Q.target_counts, name="q01")
+    """Q01: positive predictions per target, 15-minute tumbling windows."""
+    return _run(spark, sf, Q.target_counts, [*WINDOW, "target"], name="q01")
 
 
 @query("q02_moving_average_10min", f"""SELECT window_start, window_end, n, round(n / 10.0, 6) AS moving_avg
     FROM (SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, count(*) AS n FROM (
       SELECT time_bucket(INTERVAL '1 minute', ts) - k * INTERVAL 1 MINUTE AS s
-      FROM events, range(0, 10) r(k)) GROUP BY s) WHERE {_FINAL}""")
+      FROM events, range(0, 10) r(k)) GROUP BY s)""")
 def q02_moving_average_10min(spark, sf):
-    """Q02: responses, 10-minute moving average with a 1-minute slide (append)."""
-    d = _run(spark, sf, Q.moving_average, name="q02")
+    """Q02: responses, 10-minute moving average with a 1-minute slide."""
+    d = Q.moving_average(_run(spark, sf, Q.minute_counts, WINDOW, name="q02"))
     return d.select("window_start", "window_end", "n", r6("moving_avg").alias("moving_avg"))
 
 
@@ -59,10 +59,10 @@ def q02_moving_average_10min(spark, sf):
     FROM (SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
             time_bucket(INTERVAL '1 minute', ts) + INTERVAL 1 MINUTE AS window_end,
             count(*) AS n, list_sort(list(value)) AS v
-          FROM events GROUP BY 1, 2) WHERE {_FINAL}""")
+          FROM events GROUP BY 1, 2)""")
 def q03_response_time_mean_90(spark, sf):
-    """Q03: mean of the fastest 90% of response times per minute (append)."""
-    d = _run(spark, sf, Q.trimmed_mean_90, name="q03")
+    """Q03: mean of the fastest 90% of response times per minute."""
+    d = Q.trimmed_mean_90(_run(spark, sf, Q.value_counts, [*WINDOW, "response_time"], name="q03"))
     return d.select("window_start", "window_end", F.col("n").cast("long").alias("n"),
                     r6("mean_90").alias("mean_90"))
 
@@ -70,7 +70,7 @@ def q03_response_time_mean_90(spark, sf):
 @query("q04_request_total", "SELECT count(*) AS requests FROM events")
 def q04_request_total(spark, sf):
     """Q04: request total over the whole range (complete mode)."""
-    return _run(spark, sf, Q.request_total, mode="complete", name="q04")
+    return _run(spark, sf, Q.request_total, name="q04")
 
 
 @query("q05_gauge_last_value",
@@ -78,21 +78,21 @@ def q04_request_total(spark, sf):
        "AS last_value FROM events GROUP BY event_type")
 def q05_gauge_last_value(spark, sf):
     """Q05: last non-NULL gauge value per series (complete mode)."""
-    return _run(spark, sf, Q.last_value, mode="complete", name="q05")
+    return _run(spark, sf, Q.last_value, name="q05")
 
 
 @query("q06_gauge_mean_10min", f"""SELECT window_start, window_end, target, round(mean_value, 6) AS mean_value
     FROM ({_tumbling_sql(10, 'avg(response_time) AS mean_value', 'target')})""")
 def q06_gauge_mean_10min(spark, sf):
-    """Q06: gauge mean per series and 10-minute window (append)."""
-    d = _run(spark, sf, Q.gauge_mean, name="q06")
+    """Q06: gauge mean per series and 10-minute window."""
+    d = _run(spark, sf, Q.gauge_mean, [*WINDOW, "target"], name="q06")
     return d.select("window_start", "window_end", "target", r6("mean_value").alias("mean_value"))
 
 
 @query("q07_range_totals", f"""SELECT target, CAST(sum(n) AS BIGINT) AS total FROM (
     {_tumbling_sql(15, 'count(*) AS n', 'target')}) GROUP BY target""")
 def q07_range_totals(spark, sf):
-    """Q07: per-target sum over the range of Q01's final windows."""
+    """Q07: per-target sum over the range of Q01's windows."""
     return Q.range_totals(q01_target_counts_15min(spark, sf))
 
 
@@ -100,10 +100,10 @@ def q07_range_totals(spark, sf):
     SELECT time_bucket(INTERVAL '10 seconds', ts) AS window_start,
            time_bucket(INTERVAL '10 seconds', ts) + INTERVAL 10 SECOND AS window_end,
            event_type AS target, arg_max(value, ts) AS value
-    FROM events GROUP BY 1, 2, 3) WHERE {_FINAL}""")
+    FROM events GROUP BY 1, 2, 3)""")
 def q08_throttled_gauge_10s(spark, sf):
-    """Q08: one gauge value (the last) per series and 10 seconds (append)."""
-    return _run(spark, sf, Q.throttled_gauge, name="q08")
+    """Q08: one gauge value (the last) per series and 10 seconds."""
+    return _run(spark, sf, Q.throttled_gauge, [*WINDOW, "target"], name="q08")
 
 
 @query("q09_elapsed_seconds",
@@ -111,7 +111,7 @@ def q08_throttled_gauge_10s(spark, sf):
        "AS elapsed_seconds FROM events GROUP BY event_type")
 def q09_elapsed_seconds(spark, sf):
     """Q09: seconds from each series' first to latest event (complete mode)."""
-    d = _run(spark, sf, Q.elapsed, mode="complete", name="q09")
+    d = _run(spark, sf, Q.elapsed, name="q09")
     return d.select("target", r6("elapsed_seconds").alias("elapsed_seconds"))
 
 

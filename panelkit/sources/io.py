@@ -13,12 +13,13 @@ _CSV_TEXT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "fa
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   date_format: str = "yyyy-MM-dd") -> DataFrame:
+                   date_format: str = "yyyy-MM-dd", mode: str = "FAILFAST") -> DataFrame:
     """CSV with a declared schema; the header line is skipped and the
     schema's names replace it by position (``enforceSchema``), which is the
-    reference's ``header=0, names=...`` rename. Padded text stays padded."""
+    reference's ``header=0, names=...`` rename. Padded text stays padded. A malformed
+    record fails the read; ``mode="PERMISSIVE"`` turns its bad cells into NULL instead."""
     return (spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
-                 .option("dateFormat", date_format).option("mode", "PERMISSIVE")
+                 .option("dateFormat", date_format).option("mode", mode)
                  .options(**_CSV_TEXT).csv(path))
 
 
@@ -34,15 +35,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
                   spread_by: list[str] | None = None) -> None:
     """Parquet sink, overwrite; partitioned by period for pruning.
 
-    With ``partition_by``, rows are first range-partitioned on the partition
-    columns plus ``spread_by`` (e.g. the client id): each task then writes one
-    or two period folders instead of one small file per period, and a period
-    holding a third of the rows is still split over many tasks by the id.
+    With ``partition_by``, rows are first rebalanced by the partition columns: Spark
+    merges small periods and splits a period holding a third of the rows, by size, so
+    the number of files follows the data. ``spread_by`` rebalances by more columns.
     """
     if partition_by:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        keys = list(partition_by) + [c for c in (spread_by or []) if c in df.columns]
-        df = df.repartitionByRange(n, *keys)
+        df = df.hint("rebalance", *partition_by, *[c for c in (spread_by or []) if c in df.columns])
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -72,7 +70,7 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str,
     df = read_csv_typed(spark, csv_path, schema, date_format)
     if post is not None:
         df = post(df)
-    write_parquet(df, parquet_path, list(partition_by) if partition_by else None, ["id"])
+    write_parquet(df, parquet_path, list(partition_by) if partition_by else None)
     return read_parquet(spark, parquet_path)
 
 
@@ -97,7 +95,7 @@ def write_bucketed(df: DataFrame, table: str, path: str, by: str = "id",
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    w = df.write.mode("overwrite").option("path", path).bucketBy(n, by)
+    w = df.repartition(n, by).write.mode("overwrite").option("path", path).bucketBy(n, by)
     if sort_by:
         w = w.sortBy(*sort_by)
     w.saveAsTable(table)

@@ -15,9 +15,9 @@ queries over an event stream ``(ts, target, response_time, ...)``:
   Q09 elapsed time since the first event of each series
   Q10 stream scoring: JSON requests in, recommendations out
 
-Every windowed query carries a watermark (1 hour by default) so its state is
-bounded and append mode can emit final windows; late rows beyond the
-watermark are dropped. Sinks are Parquet folders with their checkpoint next to
+Every windowed query carries a watermark (an argument, 1 hour by default) so its state is
+bounded; late rows beyond it are dropped. Windows go to a keyed update sink, which also
+holds those that the watermark has not closed yet. Sinks are Parquet folders with their checkpoint next to
 them under the session's checkpoint folder, so a restarted query resumes.
 """
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,38 +59,54 @@ def _bounds(df: DataFrame) -> DataFrame:
                      *[c for c in df.columns if c != "window"])
 
 
-def target_counts(events: DataFrame, every: str = "15 minutes") -> DataFrame:
+def target_counts(events: DataFrame, every: str = "15 minutes", watermark: str = WATERMARK) -> DataFrame:
     """Q01: positive predictions per target per tumbling window."""
-    g = (events.withWatermark("ts", WATERMARK)
+    g = (events.withWatermark("ts", watermark)
                .groupBy(F.window("ts", every), "target")
                .agg(F.count(F.lit(1)).alias("n")))
     return _bounds(g)
 
 
-def moving_average(events: DataFrame, length: str = "10 minutes", slide: str = "1 minute",
-                   buckets: int = 10) -> DataFrame:
-    """Q02: per sliding window, count and count per slide bucket (idle buckets
-    count as 0, as a moving average of a per-minute counter does)."""
-    g = (events.withWatermark("ts", WATERMARK)
-               .groupBy(F.window("ts", length, slide))
-               .agg(F.count(F.lit(1)).alias("n")))
-    return _bounds(g.withColumn("moving_avg", F.col("n") / F.lit(float(buckets))))
+def minute_counts(events: DataFrame, slide: str = "1 minute", watermark: str = WATERMARK) -> DataFrame:
+    """Q02, stream part: responses per slide."""
+    return _bounds(events.withWatermark("ts", watermark).groupBy(F.window("ts", slide))
+                   .agg(F.count(F.lit(1)).alias("n")))
+
+
+def moving_average(counts: DataFrame, buckets: int = 10, slide: str = "1 minute") -> DataFrame:
+    """Q02: per sliding window of ``buckets`` slides, count and count per slide (idle slides
+    count as 0, as a moving average of a per-minute counter does). Slides are added up,
+    not events: each slide's count enters ``buckets`` windows."""
+    step = F.expr(f"INTERVAL {slide}")
+    back = F.explode(F.array(*[F.lit(k) for k in range(buckets)]))
+    start = F.col("window_start") - F.col("k") * step
+    g = (counts.withColumn("k", back).select(start.alias("window_start"), "n")
+         .groupBy("window_start").agg(F.sum("n").alias("n")))
+    return g.select("window_start", (F.col("window_start") + F.lit(buckets) * step).alias("window_end"), "n",
+                    (F.col("n") / F.lit(float(buckets))).alias("moving_avg"))
+
 
+def value_counts(events: DataFrame, every: str = "1 minute", watermark: str = WATERMARK) -> DataFrame:
+    """Q03, stream part: how often each response time occurs per interval."""
+    return _bounds(events.withWatermark("ts", watermark).groupBy(F.window("ts", every), "response_time")
+                   .agg(F.count(F.lit(1)).alias("n")))
 
-def trimmed_mean_90(events: DataFrame, every: str = "1 minute") -> DataFrame:
+
+def trimmed_mean_90(counts: DataFrame) -> DataFrame:
     """Q03: mean of the lowest 90% of response times per interval (at least one).
 
-    A timer interval holds the values of one flush interval, which is bounded
-    by the interval length and the service rate; the values are sorted inside
-    the window's aggregate.
+    Works on counts per distinct value with a running count, so no interval is ever
+    collected into one row.
     """
-    g = (events.withWatermark("ts", WATERMARK)
-               .groupBy(F.window("ts", every))
-               .agg(F.sort_array(F.collect_list("response_time")).alias("_v")))
-    k = F.greatest(F.lit(1), F.round(F.size("_v") * 0.9).cast("int"))
-    kept = F.slice("_v", 1, k)
-    mean = F.aggregate(kept, F.lit(0.0), lambda acc, x: acc + x) / F.size(kept)
-    return _bounds(g.select("window", F.size("_v").alias("n"), mean.alias("mean_90")))
+    w = Window.partitionBy("window_start", "window_end")
+    upto = F.sum("n").over(w.orderBy("response_time").rowsBetween(Window.unboundedPreceding, 0))
+    c = counts.select("*", upto.alias("_hi"), F.sum("n").over(w).alias("_all"))
+    k = F.greatest(F.lit(1), F.round(F.col("_all") * 0.9).cast("long"))
+    used = F.greatest(F.lit(0), F.least(F.col("n"), k - (F.col("_hi") - F.col("n"))))
+    return (c.select("window_start", "window_end", "response_time", "_all", used.alias("_used"))
+            .groupBy("window_start", "window_end")
+            .agg(F.max("_all").alias("n"),
+                 (F.sum(F.col("response_time") * F.col("_used")) / F.sum("_used")).alias("mean_90")))
 
 
 def request_total(events: DataFrame) -> DataFrame:
@@ -105,9 +121,9 @@ def last_value(events: DataFrame, series: str = "target", value: str = "response
 
 
 def gauge_mean(events: DataFrame, every: str = "10 minutes", series: str = "target",
-               value: str = "response_time") -> DataFrame:
+               value: str = "response_time", watermark: str = WATERMARK) -> DataFrame:
     """Q06: gauge mean per series and window."""
-    g = (events.withWatermark("ts", WATERMARK)
+    g = (events.withWatermark("ts", watermark)
                .groupBy(F.window("ts", every), series)
                .agg(F.avg(value).alias("mean_value")))
     return _bounds(g)
@@ -119,9 +135,9 @@ def range_totals(counts: DataFrame) -> DataFrame:
 
 
 def throttled_gauge(events: DataFrame, every: str = "10 seconds", series: str = "target",
-                    value: str = "response_time") -> DataFrame:
+                    value: str = "response_time", watermark: str = WATERMARK) -> DataFrame:
     """Q08: at most one gauge value per series and 10-second window (the last)."""
-    g = (events.withWatermark("ts", WATERMARK)
+    g = (events.withWatermark("ts", watermark)
                .groupBy(F.window("ts", every), series)
                .agg(F.max_by(value, "ts").alias("value")))
     return _bounds(g)
@@ -139,8 +155,9 @@ def run_to_parquet(stream: DataFrame, out_dir: str, mode: str = "append",
     """Run a streaming query to completion (available-now trigger) into a
     Parquet folder; the checkpoint sits next to it. Returns the data path.
 
-    Complete / update modes go through ``foreachBatch`` overwriting the table,
-    since the file sink only appends.
+    Append goes to the file sink. Complete mode overwrites the table. In update mode each
+    batch holds the changed rows alone: it is written to a folder of its own (a batch run
+    again overwrites just that), and ``latest`` reads the newest row of each key.
     """
     data = os.path.join(out_dir, "data")
     ckpt = os.path.join(out_dir, "_checkpoint")
@@ -148,9 +165,18 @@ def run_to_parquet(stream: DataFrame, out_dir: str, mode: str = "append",
     if mode == "append":
         w = w.format("parquet").option("path", data)
     else:
-        def write(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(data)
+        def write(batch: DataFrame, epoch: int) -> None:
+            to = data if mode == "complete" else os.path.join(data, f"batch={epoch}")
+            batch.write.mode("overwrite").parquet(to)
         w = w.foreachBatch(write)
     q = (w.trigger(availableNow=True) if available_now else w).start()
     q.awaitTermination()
     return data
+
+
+def latest(spark: SparkSession, data: str, keys: list[str]) -> DataFrame:
+    """The table of an update-mode query: the row of the last batch for each key."""
+    rows = spark.read.parquet(data)
+    rest = [c for c in rows.columns if c not in keys and c != "batch"]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return newest.select(*keys, "_row.*")

@@ -1,4 +1,4 @@
-"""Streaming = batch for the monitor aggregations (final windows only)."""
+"""Streaming = batch for the monitor aggregations, up to the last event."""
 
 from pyspark.sql import functions as F
 
@@ -7,25 +7,31 @@ from panelkit.sources import standins as S
 from panelkit.streaming import monitor as Q
 
 
+def run(spark, sf, build, keys, name):
+    data = Q.run_to_parquet(build(Q.event_stream(spark, sf)), scratch_dir(spark, name), "update")
+    return Q.latest(spark, data, keys)
+
+
 def test_stream_counts_equal_batch(spark, sf_small):
-    out = scratch_dir(spark, "t-stream")
-    data = Q.run_to_parquet(Q.target_counts(Q.event_stream(spark, sf_small)), out)
-    got = spark.read.parquet(data)
+    got = run(spark, sf_small, Q.target_counts, ["window_start", "window_end", "target"], "t-stream")
     ev = S.metric_events(spark, sf_small)
-    wm = ev.agg(F.max("ts")).first()[0]
-    import datetime as dt
-    cutoff = wm - dt.timedelta(hours=1)
     batch = (ev.groupBy(F.window("ts", "15 minutes"), "target").agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("window.end") <= F.lit(cutoff))
-               .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                       "target", "n"))
+               .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "target", "n"))
     a = sorted(got.select("window_start", "target", "n").collect())
     b = sorted(batch.collect())
     assert a == b and len(a) > 0
 
 
-def test_trimmed_mean_keeps_at_least_one(spark, sf_small):
-    out = scratch_dir(spark, "t-mean90")
-    data = Q.run_to_parquet(Q.trimmed_mean_90(Q.event_stream(spark, sf_small)), out)
-    rows = spark.read.parquet(data).collect()
+def test_trimmed_mean_of_the_lowest_values(spark, sf_small):
+    counts = spark.createDataFrame([("a", "b", 1.0, 8), ("a", "b", 5.0, 1), ("a", "b", 100.0, 1), ("c", "d", 7.0, 1)],
+                                   "window_start string, window_end string, response_time double, n long")
+    got = {r.window_start: (r.n, r.mean_90) for r in Q.trimmed_mean_90(counts).collect()}
+    assert got == {"a": (10, 13 / 9), "c": (1, 7.0)}
+    rows = Q.trimmed_mean_90(run(spark, sf_small, Q.value_counts, ["window_start", "window_end", "response_time"], "t-mean90")).collect()
     assert rows and all(r.mean_90 is not None for r in rows)
+
+
+def test_update_sink_keeps_the_newest_row_of_each_key(spark, tmp_path):
+    spark.createDataFrame([(1, 10), (2, 20)], "k int, v int").write.parquet(str(tmp_path / "batch=0"))
+    spark.createDataFrame([(2, 21), (3, 30)], "k int, v int").write.parquet(str(tmp_path / "batch=1"))
+    assert sorted(map(tuple, Q.latest(spark, str(tmp_path), ["k"]).collect())) == [(1, 10), (2, 21), (3, 30)]
