@@ -10,11 +10,11 @@ their own size needs are links.
 
 Distribution. The lists are built per block of documents; blocks must hold every pair that
 can link. Sizes fall into classes by the factor 1 / threshold, so linked sizes share a class
-or are neighbours. On each of these levels linked sets differ in at most D elements, so if
-the hash space is cut into D + 1 ranges, the elements of at least one range are the same in
-both; each document gives one hash for each range and level. A range that is empty in a document
-proves nothing, so a document with an empty range repeats this with another hash until none is
-empty; a pair that had only empty ranges in common does so on both sides. Documents with equal
+or are neighbours. On each of these levels linked sets differ in at most D elements. The hash
+space is cut into ranges; each document gives one hash for each range that it has elements in,
+and level. If one of a pair has elements in more than D ranges, the elements of at least one of
+them are the same in both. A document with fewer repeats this with another hash; both of a
+pair do so if neither has enough. Documents with equal
 hashes form routing groups (connected components), which are searched block by block. No
 order by frequency is needed, so nothing about the corpus is broadcast, and frequent grams
 alone never bring documents together.
@@ -95,6 +95,8 @@ def class_keys(sets: list[np.ndarray]) -> list[bytes]:
 def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD) -> list[np.ndarray]:
     """Routing hashes of each set (int64): linked sets have one in common."""
     num, den = threshold
+    if 4 * num < 3 * den:
+        raise ValueError("routing needs a threshold of 0.75 or more")
     factor = den / num * (1 + 1e-6)
     out: list[list[np.ndarray]] = [[] for _ in sets]
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -108,7 +110,8 @@ def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD)
             level = np.floor(np.log(lens) / math.log(factor)).astype(np.int64) - down
             most = np.ceil(factor ** (level + 2))
             # |A ^ B| <= (|A| + |B|) (1 - t) / (1 + t)
-            ranges = np.floor(2 * most * (den - num) / (den + num) + 1e-9).astype(np.int64) + 1
+            differ = np.floor(2 * most * (den - num) / (den + num) + 1e-9).astype(np.int64)
+            ranges = differ + 1 + differ // (4 if 20 * num >= 17 * den else 2)
             who = np.repeat(np.arange(len(owners)), lens)
             if seed:
                 flat = mix64(flat ^ _ODD[30 + seed % 30])
@@ -124,7 +127,7 @@ def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD)
             at = starts_of(full)
             for k, d in enumerate(owners.tolist()):
                 out[d].append(keys[at[k]:at[k + 1]])
-            pending = [pending[k] for k in np.flatnonzero(full < ranges)]
+            pending = [pending[k] for k in np.flatnonzero(full <= differ)]
             seed += 1
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
