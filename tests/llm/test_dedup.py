@@ -123,7 +123,7 @@ def brute_join(rows, gram, num):
 def test_join_equals_brute_force(documents, monkeypatch):
     rows = near_copies()
     docs = documents(rows).repartition(4)
-    for gram, num in ((3, 90), (5, 80), (2, 60)):
+    for gram, num in ((3, 90), (5, 80), (2, 75)):
         got = ngram_join.jaccard_join(docs, gram, (num, 100)).collect()
         want = brute_join(rows, gram, num)
         assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in got) == want
@@ -145,7 +145,7 @@ def test_linked_sets_share_a_route():
             b = np.delete(b, own.integers(len(b))) if own.random() < 0.5 and len(b) > 1 else np.append(b, np.uint64(own.integers(2 ** 63)))
         b = np.unique(b)
         i = len(np.intersect1d(a, b))
-        for num in (90, 80, 60):
+        for num in (90, 80, 75):
             if 100 * i >= num * (len(a) + len(b) - i):
                 x, y = ngram_join.route_hashes([a, b], (num, 100))
                 assert set(x.tolist()) & set(y.tolist())
