@@ -12,22 +12,32 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """(node, label) for every node of ``links`` (columns a, b): label is the smallest node
     that links reach.
 
-    Each round takes the smallest label of the neighbours and then the label of the label
-    (pointer jumping), so long chains shrink by halves. Rounds are cut by written tables.
-    Both joins are plain joins that Spark may split where one node has many links.
+    Each round hooks every node to its smallest neighbour, follows the hooks to their roots
+    (pointer jumping, which halves long chains), and replaces the links by those between
+    different roots, once each; a few rounds leave none. Rounds are cut by written tables.
+    All joins are plain joins that Spark may split where one node has many links.
     """
-    both = links.select("a", "b").where("a <> b")
-    both = materialise(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                       f"{name}-links")
-    labels = materialise(both.groupBy("a").agg(F.min("b").alias("m"))
-                         .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), f"{name}-labels")
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    links = materialise(links.where("a <> b").select(low, high).distinct(), f"{name}-links")
+    labels = None
     while True:
-        near = (both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("m")))
-        step = labels.join(near, F.col("node") == F.col("a")).select(
-            "node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        jump = step.select(F.col("node").alias("to"), F.col("label").alias("to_label"))
-        new = materialise(step.join(jump, F.col("label") == F.col("to")).select(
-            "node", "old", F.least("label", "to_label").alias("label")), f"{name}-labels")
-        labels = new.select("node", "label")
-        if new.where("old <> label").isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("node"), F.least("a", "m").alias("up")), f"{name}-hooks")
+        while True:
+            jump = materialise(up.join(up.select(F.col("node").alias("of"), F.col("up").alias("root")), F.col("up") == F.col("of"))
+                               .select("node", F.col("up").alias("old"), F.col("root").alias("up")), f"{name}-hooks")
+            up = jump.select("node", "up")
+            if jump.where("old <> up").isEmpty():
+                break
+        if labels is None:
+            labels = up.select("node", F.col("up").alias("label"))
+        else:
+            to = up.select(F.col("node").alias("of"), "up")
+            labels = materialise(labels.join(to, F.col("label") == F.col("of"), "left").select(
+                "node", F.coalesce("up", "label").alias("label")), f"{name}-labels")
+        a, b = (up.select(F.col("node").alias(f"of_{c}"), F.col("up").alias(f"up_{c}")) for c in ("a", "b"))
+        links = links.join(a, F.col("a") == F.col("of_a")).join(b, F.col("b") == F.col("of_b")).where("up_a <> up_b")
+        links = materialise(links.select(F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct(), f"{name}-links")
+        if links.isEmpty():
             return labels
