@@ -301,7 +301,7 @@ def keep_one(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] = THR
     keeps the row with the smallest text hash.
     """
     joined = materialise(jaccard_join(docs, gram, threshold, id_col, text_col).where("n_links > 0"), "ngram-linked-docs")
-    first = joined.groupBy("component_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+    first = joined.groupBy("component_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("f"))  # null ids last
     same = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash"))
     marked = joined.join(first.withColumnRenamed("component_key", "of"), F.col("component_key") == F.col("of"))
     gone = materialise(marked.where(~same).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "ngram-gone")
