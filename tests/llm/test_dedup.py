@@ -180,3 +180,15 @@ def test_components_of_chains(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 99), (101, 99), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in components(links, "test").collect()}
     assert got == {**{k: 0 for k in range(41)}, 99: 99, 100: 99, 101: 99}
+
+
+def test_suffix_arrays_side_by_side(monkeypatch):
+    """The arrays of many texts at once are those of each text alone."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(suffix_dedup, "SIDE_BY_SIDE", 0)
+    for letters in (1, 2, 4, 26):
+        texts = [bytes(rng.integers(97, 97 + letters, rng.integers(1, 150)).astype(np.uint8)) for _ in range(40)]
+        begin = np.cumsum([0] + [len(t) for t in texts])
+        got = suffix_dedup.suffix_orders(np.frombuffer(b"".join(texts), np.uint8), begin)
+        for k, t in enumerate(texts):
+            assert (got[begin[k]:begin[k + 1]] - begin[k]).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
