@@ -93,10 +93,11 @@ def fill_with(c, value) -> Column:
 
 
 def round_to(c, places: int = 4) -> Column:
-    """round the binary value half away from zero, as Python's ``round``
-    and numpy see it: 0.01775 (stored as 0.017749999...) gives 0.0177.
+    """scale by 10^places, round half away from zero, scale back; DuckDB's ``round`` gives the same.
 
-    ``F.round`` rounds the shortest decimal text instead and would give 0.0178.
+    The product is a double already: where it falls on a half, the result can differ in the last
+    place from Python's ``round`` (0.15455 gives 0.1546, Python 0.1545) and from ``F.round``, which
+    rounds the shortest decimal text (0.01775 gives 0.0177 here and 0.0178 there).
     """
     x = col(c).cast("double")
     p = float(10 ** places)
