@@ -416,6 +416,21 @@ def binned(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     return j.withColumn(col, code.cast("string")).drop("_k", "_lo", "_hi")
 
 
+def binned_all(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """``binned`` for several columns, with their ranges from one scan."""
+    x = {c: F.col(c).cast("double") for c in cols}
+    lo = {c: F.col(f"_r.lo_{c}") for c in cols}
+    hi = {c: F.col(f"_r.hi_{c}") for c in cols}
+    rng = df.agg(F.struct(*[f(x[c]).alias(f"{n}_{c}") for c in cols
+                            for n, f in (("lo", F.min), ("hi", F.max))]).alias("_r"))
+    code = {c: F.when(x[c].isNull(), F.lit(None)).when(hi[c] == lo[c], F.lit(1)).otherwise(
+        F.least(F.floor((x[c] - lo[c]) / ((hi[c] - lo[c]) / bins)), F.lit(bins - 1)).cast("int") + 1)
+        for c in cols}
+    # one row of ranges
+    return df.crossJoin(F.broadcast(rng)).withColumns(
+        {c: code[c].cast("string") for c in cols}).drop("_r")
+
+
 def association(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Chi-square and Cramer's V for each feature pair (categorical codes).
 
@@ -427,7 +442,8 @@ def association(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         F.struct(F.lit(f"{a}|{b}").alias("pair"), F.col(a).cast("string").alias("a"),
                  F.col(b).cast("string").alias("b")) for a, b in pairs])).alias("_p")
     ).select("_p.*").where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    cells = rows.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("o"))
+    # doubles: o * o * n passes the range of a long from some 2 million rows on
+    cells = rows.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("o"))
     ra = cells.groupBy("pair", "a").agg(F.sum("o").alias("na"))
     rb = cells.groupBy("pair", "b").agg(F.sum("o").alias("nb"))
     tot = cells.groupBy("pair").agg(F.sum("o").alias("n"), F.count_distinct("a").alias("r"),
@@ -435,7 +451,8 @@ def association(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     j = cells.join(ra, ["pair", "a"]).join(rb, ["pair", "b"]).join(tot, "pair")
     chi = j.groupBy("pair", "n", "r", "c").agg(
         F.sum(F.col("o") * F.col("o") * F.col("n") / (F.col("na") * F.col("nb"))).alias("_s"))
-    chi = chi.select("pair", "n", "r", "c", (F.col("_s") - F.col("n")).alias("chi2"))
+    chi = chi.select("pair", F.col("n").cast("long").alias("n"), "r", "c",
+                     F.greatest(F.col("_s") - F.col("n"), F.lit(0.0)).alias("chi2"))
     k = F.least(F.col("r"), F.col("c")) - 1
     return chi.select("pair", "n", "chi2",
                       F.when(k > 0, F.sqrt(F.col("chi2") / F.col("n") / k)).alias("cramers_v"))

@@ -382,7 +382,7 @@ def _a30_sql():
     "round(CASE WHEN least(r, c) - 1 > 0 THEN sqrt(chi2 / n / (least(r, c) - 1)) END, 6) "
     "AS cramers_v FROM chi", "snapshot", extra=[_a30_sql()]))
 def a30_association(spark, sf):
-    """Chi-square and Cramer's V of every pair of features, over all rows."""
+    """Chi-square and Cramer's V of the pairs of six demographic features, over all rows."""
     s = _snap(spark, sf).withColumn("age", X.to_int("age"))
     coded = A.binned(A.binned(s, "income", 10), "age", 10)
     coded = coded.withColumn("province_code", F.col("province_code").cast("string"))
@@ -391,6 +391,67 @@ def a30_association(spark, sf):
                     r6("cramers_v").alias("cramers_v"))
 
 
+A30_INTERVAL = ["age", "tenure_months", "income", "fetch_year", "fetch_month",
+                "number_of_products"]
+A30_CATEGORY = ["gender", "ind_new_client", "client_relationship_status", "client_type_1m",
+                "client_activity_1m", "ind_foreigner", "entry_channel", "province_code",
+                "ind_client_activity", "client_segment"]
+A30_ALL = A30_INTERVAL + A30_CATEGORY + OP + ["target__" + p for p in OP]
+A30_ALL_PAIRS = [(a, b) for i, a in enumerate(A30_ALL) for b in A30_ALL[i + 1:]]
+
+
+def _a30_all_sql():
+    interval = {"age": _AGE_SQL, "income": "income",
+                "tenure_months": "TRY_CAST(TRY_CAST(trim(tenure_months) AS DOUBLE) AS INTEGER)",
+                "fetch_year": "year(fetch_date)", "fetch_month": "month(fetch_date)",
+                "number_of_products": " + ".join(f"coalesce({p}, 0)" for p in OP)}
+    targets = ", ".join(
+        f"CASE WHEN lead(id) OVER w IS NOT NULL THEN coalesce(CAST(({p} = 0 AND lead({p}) OVER w = 1) "
+        f"AS INTEGER), 0) END AS target__{p}" for p in OP)
+    numbers = ", ".join(f"CAST({e} AS DOUBLE) AS x_{c}" for c, e in interval.items())
+    ranges = ", ".join(f"min(x_{c}) AS lo_{c}, max(x_{c}) AS hi_{c}" for c in interval)
+    bins = ", ".join(
+        f"CASE WHEN x_{c} IS NULL THEN NULL WHEN hi_{c} = lo_{c} THEN '1' ELSE CAST(CAST(least(floor("
+        f"(x_{c} - lo_{c}) / ((hi_{c} - lo_{c}) / 10)), 9) AS INTEGER) + 1 AS VARCHAR) END AS {c}"
+        for c in interval)
+    texts = ", ".join(f"CAST(r.{c} AS VARCHAR) AS {c}" for c in A30_ALL[len(A30_INTERVAL):])
+    pairs = ", ".join(f"{{'pair': '{a}|{b}', 'a': {a}, 'b': {b}}}" for a, b in A30_ALL_PAIRS)
+    return f"""raw AS (SELECT *, {numbers}, {targets} FROM snapshot
+      WINDOW w AS (PARTITION BY id ORDER BY fetch_date)),
+    coded AS (SELECT {bins}, {texts} FROM raw r, (SELECT {ranges} FROM raw)),
+    long AS (SELECT unnest([{pairs}]) AS p FROM coded),
+    cells AS (SELECT p.pair AS pair, p.a AS a, p.b AS b, CAST(count(*) AS DOUBLE) AS o FROM long
+              WHERE p.a IS NOT NULL AND p.b IS NOT NULL GROUP BY ALL),
+    ra AS (SELECT pair, a, sum(o) AS na FROM cells GROUP BY pair, a),
+    rb AS (SELECT pair, b, sum(o) AS nb FROM cells GROUP BY pair, b),
+    tot AS (SELECT pair, sum(o) AS n, count(DISTINCT a) AS r, count(DISTINCT b) AS c
+            FROM cells GROUP BY pair),
+    chi AS (SELECT c.pair, t.n, t.r, t.c,
+              greatest(sum(o * o * t.n / (na * nb)) - t.n, 0) AS chi2
+            FROM cells c JOIN ra USING (pair, a) JOIN rb USING (pair, b) JOIN tot t
+            ON c.pair = t.pair GROUP BY c.pair, t.n, t.r, t.c)"""
+
+
+@query("a30_association_all", with_ctes(
+    "SELECT pair, CAST(n AS BIGINT) AS n, round(chi2, 6) AS chi2, "
+    "round(CASE WHEN least(r, c) - 1 > 0 THEN sqrt(chi2 / n / (least(r, c) - 1)) END, 6) "
+    "AS cramers_v FROM chi", "snapshot", extra=[_a30_all_sql()]))
+def a30_association_all(spark, sf):
+    """Chi-square and Cramer's V of every pair of features, products and targets, over all rows.
+
+    A client's last row has no next period: its targets are NULL and leave only the pairs of targets.
+    """
+    s = P.add_targets(_snap(spark, sf), OP)
+    targets = ["target__" + p for p in OP]
+    s = s.withColumns({t: F.when(F.col("_has_next"), F.col(t)) for t in targets} | {
+        "age": X.to_int("age"), "tenure_months": X.to_int("tenure_months"),
+        "fetch_year": X.year_of("fetch_date"), "fetch_month": X.month_of("fetch_date"),
+        "number_of_products": X.number_of_products(OP)})
+    r = A.association(A.binned_all(s.select(*A30_ALL), A30_INTERVAL, 10), A30_ALL_PAIRS)
+    return r.select("pair", F.col("n").cast("long").alias("n"), r6("chi2").alias("chi2"),
+                    r6("cramers_v").alias("cramers_v"))
+
+
 @query("a10_category_sizes_province", with_ctes(
     "SELECT province_code, count(*) AS n FROM snapshot WHERE province_code IS NOT NULL "
     "GROUP BY province_code", "snapshot"))

@@ -75,6 +75,42 @@ def test_association_perfect_dependence(spark):
     assert abs(r.cramers_v - 1.0) < 1e-12 and abs(r.chi2 - 100.0) < 1e-9
 
 
+def test_association_covers_all_features_products_and_targets(spark, sf_small):
+    from itertools import combinations
+
+    from panelkit.plans import catalog
+    from panelkit.plans.q_aggs import OP
+    catalog.load_all()
+    numerical = ["age", "tenure_months", "income", "fetch_year", "fetch_month", "number_of_products"]
+    category = ["gender", "ind_new_client", "client_relationship_status", "client_type_1m",
+                "client_activity_1m", "ind_foreigner", "entry_channel", "province_code",
+                "ind_client_activity", "client_segment"]
+    columns = numerical + category + OP + ["target__" + p for p in OP]
+    got = {frozenset(r.pair.split("|")): r
+           for r in catalog.QUERIES["a30_association_all"](spark, sf_small).collect()}
+    assert set(got) == {frozenset(p) for p in combinations(columns, 2)}
+    # the pairs of the six demographic features are the same rows
+    for r in catalog.QUERIES["a30_association"](spark, sf_small).collect():
+        assert r[1:] == got[frozenset(r.pair.split("|"))][1:]
+    # a target against a feature, by hand: the last row of a client has no target
+    from panelkit.sources import standins as S
+    pdf = S.snapshot(spark, sf_small).toPandas().sort_values(["id", "fetch_date"])
+    nxt = pdf.groupby("id")["ind_1m_urgent"].shift(-1)
+    y = ((pdf["ind_1m_urgent"] == 0) & (nxt == 1))[nxt.notna()].astype(int)
+    table = pd.crosstab(pdf.loc[y.index, "client_segment"], y)
+    o = table.to_numpy(float)
+    e = o.sum(1, keepdims=True) * o.sum(0, keepdims=True) / o.sum()
+    r = got[frozenset(["client_segment", "target__ind_1m_urgent"])]
+    assert r.n == o.sum() and abs(r.chi2 - ((o - e) ** 2 / e).sum()) < 1e-5
+
+
+def test_association_counts_past_the_range_of_a_long(spark):
+    # 3 million equal rows: o * o * n is 2.7e19
+    df = spark.range(3_000_000).selectExpr("IF(id < 2999990, 'x', 'y') AS a", "IF(id < 2999990, 'p', 'q') AS b")
+    r = A.association(df, [("a", "b")]).first()
+    assert r.n == 3_000_000 and abs(r.cramers_v - 1.0) < 1e-9
+
+
 def test_hot_key_is_split_across_buckets(spark):
     # One target holds 90% of the rows: its running totals still come from many
     # window partitions (buckets), and stay exact.
