@@ -14,7 +14,9 @@ rows are indexed. Distances in a sample are larger than in the table, so the est
 to more probes.
 
 Scale: a row is shuffled once per table. Cells with more than ``MAX_CELL`` rows are split
-into parts of that size, and a probe visits all parts; nothing is capped.
+into parts of that size, and a probe visits all parts. The queries that visit a cell, or that
+visit all rows, are dealt to blocks of about ``MAX_ASKED``, so each task holds one part and one
+block; nothing is capped.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do
 those of another length than most; of rows that repeat a query's id, the smallest vector asks,
@@ -39,6 +41,7 @@ SUCCESS = 0.96
 SAMPLE = 4096
 CELL_ROWS = 128
 MAX_CELL = 2048
+MAX_ASKED = 1024
 WIDTH = 1.8
 
 
@@ -173,27 +176,40 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
 
     sizes = indexed.groupBy("t", "cell").count().withColumn("parts", F.ceil(F.col("count") / MAX_CELL).cast("int"))
     sizes = materialise(sizes, "ann-cells")
-    part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-    stored = indexed.join(sizes, ["t", "cell"]).select("t", "cell", part.alias("part"), "vec_id", "v")
     visits = asking.mapInArrow(probe, "t int, cell long, query_id long").join(sizes, ["t", "cell"])
-    visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    visits = materialise(visits.select("t", "cell", "parts", "query_id"), "ann-visits")
+    # cells that no query visits are not needed
+    cells = visits.groupBy("t", "cell", "parts").count()
+    cells = materialise(cells.select("t", "cell", "parts", F.ceil(F.col("count") / MAX_ASKED).cast("int").alias("blocks")), "ann-visited")
+    stored = indexed.join(cells, ["t", "cell"])
+    stored = stored.select("t", "cell", _dealt("vec_id", F.col("parts")).alias("part"), _all("blocks").alias("block"), "vec_id", "v")
+    visits = visits.join(cells.drop("parts"), ["t", "cell"])
+    visits = visits.select("t", "cell", _all("parts").alias("part"), _dealt("query_id", F.col("blocks")).alias("block"), "query_id")
     asked = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    visits = visits.select("t", "cell", "part", "query_id").join(asked, "query_id")
-    found = _ranked(stored, visits, ["t", "cell", "part"], k)
+    found = _ranked(stored, visits.join(asked, "query_id"), ["t", "cell", "part", "block"], k)
     found = materialise(_merge(found, k), "ann-found")
 
     # queries with fewer than k found visit all rows, in parts
     few = asked.join(found.groupBy("query_id").count(), "query_id", "left")
     few = materialise(few.where(F.coalesce("count", F.lit(0)) < min(k, n_rows - 1)).select("query_id", "q"), "ann-few")
-    if few.isEmpty():
+    n_few = few.count()
+    if not n_few:
         return found
-    parts = -(-n_rows // MAX_CELL)
-    blocks = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part"), "vec_id", "v")
-    rest = few.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    rest = _merge(_ranked(blocks, rest, ["part"], k), k)
+    over = {"parts": F.lit(-(-n_rows // MAX_CELL)), "blocks": F.lit(-(-n_few // MAX_ASKED))}
+    stored = rows.withColumns(over).select(_dealt("vec_id", F.col("parts")).alias("part"), _all("blocks").alias("block"), "vec_id", "v")
+    rest = few.withColumns(over).select(_all("parts").alias("part"), _dealt("query_id", F.col("blocks")).alias("block"), "query_id", "q")
+    rest = _merge(_ranked(stored, rest, ["part", "block"], k), k)
     return found.join(few.select("query_id"), "query_id", "left_anti").unionByName(rest)
 
 
+def _dealt(id_col: str, n):
+    return F.pmod(F.xxhash64(id_col), n).cast("int")
+
+
+def _all(n: str):
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
 def _ranked(stored: DataFrame, visits: DataFrame, key: list[str], k: int) -> DataFrame:
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         q_at, ids, d = [], [], []

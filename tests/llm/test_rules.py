@@ -217,6 +217,30 @@ def test_neighbours_by_brute_force(spark, monkeypatch):
     assert hits >= 0.9 * 10 * len(asked)
 
 
+def test_queries_of_a_cell_are_dealt_to_blocks(spark, monkeypatch):
+    own = np.random.default_rng(3)
+    rows = [(k, own.standard_normal(8).tolist()) for k in range(900)]
+    rows += [(1000 + k, rows[0][1]) for k in range(600)]  # all of them ask in one cell
+    rows += [(5000 + k, (own.standard_normal(8) * 500).tolist()) for k in range(100)]  # alone in their cells
+    groups, ranked = [], ann._ranked
+
+    def watched(stored, visits, key, k):
+        groups.append([side.groupBy(*key).count().agg(F.max("count")).first()[0] for side in (stored, visits)])
+        return ranked(stored, visits, key, k)
+
+    monkeypatch.setattr(ann, "_ranked", watched)
+    monkeypatch.setattr(ann, "MAX_CELL", 64)
+    monkeypatch.setattr(ann, "CELL_ROWS", 8)
+    got = []
+    for most in (10 ** 6, 64):
+        monkeypatch.setattr(ann, "MAX_ASKED", most, raising=False)
+        got.append(sorted(ann.search(vectors(spark, rows), F.lit(True), success=0.3).collect()))
+    assert len(groups) == 4  # the cells and the queries with fewer than k found, each time
+    assert max(groups[0][1], groups[1][1]) >= 600
+    assert all(max(sides) <= 128 for sides in groups[2:])
+    assert got[0] == got[1] and len(got[0]) == 10 * len(rows)
+
+
 def test_few_rows_give_all_candidates(spark):
     rows = [(k, [float(k), 1.0]) for k in range(5)]
     got = ann.search(vectors(spark, rows), F.col("vec_id") % 2 == 0).collect()
