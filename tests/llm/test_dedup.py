@@ -83,6 +83,35 @@ def test_removal_equals_brute_force(documents, monkeypatch):
     assert sorted((str(r.doc_id), *r[1:]) for r in got) == want
 
 
+def test_anchors_with_many_contexts_are_dealt_by_strings(documents, monkeypatch):
+    own = random.Random(8)
+    phrase = "one and the same phrase of more than 36 bytes"  # 45 bytes, other surroundings each time
+
+    def other(n):
+        return "".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    rows = [(k, " ".join(other(60) + phrase for _ in range(4)) + other(60)) for k in range(60)]
+    rows += [(100 + k, rows[k][1][30:200]) for k in range(20)]
+    docs = documents(rows).repartition(3)
+    groups, masks = [], suffix_dedup._masks
+
+    def watched(contexts):
+        found = {}
+        for r in contexts.collect():
+            for a in np.frombuffer(r.anchor, np.uint64).tolist():
+                found[a] = found.get(a, 0) + 1
+        groups.append(max(found.values()))
+        return masks(contexts)
+
+    monkeypatch.setattr(suffix_dedup, "_masks", watched)
+    want = sorted((str(d), *v[:4]) for (d, _), v in ((r, brute_removal(rows)[r]) for r in rows))
+    for most in (10 ** 6, 50):
+        monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", most, raising=False)
+        got = suffix_dedup.removal_report(docs).collect()
+        assert sorted((str(r.doc_id), *r[1:]) for r in got) == want
+    assert groups[0] >= 240 and groups[1] <= 50
+
+
 def test_dedup_keeps_columns(documents):
     rows = near_copies()
     docs = documents(rows)
