@@ -223,9 +223,7 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
 
     # routing groups: the first class of each routing hash is the hub of the others
     routed = described.where("cls is not null").select("cls", F.explode("routes").alias("route"))
-    hub = F.first("cls").over(Window.partitionBy("route").orderBy("cls"))
-    stars = routed.withColumn("hub", hub).where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    groups = components(stars, "ngram-groups")
+    groups = components(_stars(routed), "ngram-groups")
 
     members = groups.join(classes, F.col("node") == F.col("cls")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
     loads = members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
@@ -293,6 +291,17 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_key"), "component_key", "text_hash")
 
 
+def _stars(routed: DataFrame) -> DataFrame:
+    """Edges (a, b) from each class to the first class of each of its routes.
+
+    The first class comes from partial minima and is joined back, so a route of very many rows is
+    no sorted group of one task.
+    """
+    hubs = routed.groupBy(F.col("route").alias("of")).agg(F.min("cls").alias("hub"))
+    stars = routed.join(hubs, F.col("route") == F.col("of")).where("cls <> hub")
+    return stars.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] = THRESHOLD,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component (that of the smallest id), with the columns of ``docs``.

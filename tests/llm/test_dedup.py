@@ -180,6 +180,16 @@ def test_linked_sets_share_a_route():
                 assert set(x.tolist()) & set(y.tolist())
 
 
+def test_a_hot_route_is_no_window_group(spark):
+    rows = [(bytes([k % 250, k // 250]), 7) for k in range(2000)] + [(bytes([k, 0]), k % 5) for k in range(200)] + [(b"\x01\x00", 7)] * 50
+    stars = ngram_join._stars(spark.createDataFrame(rows, "cls binary, route long"))
+    hubs = {r: min(c for c, x in rows if x == r) for _, r in rows}
+    got = [(bytes(r.a), bytes(r.b)) for r in stars.collect()]
+    assert sorted(got) == sorted({(c, hubs[r]) for c, r in rows if c != hubs[r]})
+    plan = stars._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min(cls" in plan
+
+
 def test_divide_skip_finds_the_links_of_a_block():
     own = np.random.default_rng(6)
     sets = []
