@@ -6,15 +6,17 @@ words per 1000 words. A rule rejects a document whose score lies above its cutof
 
 The cutoffs come from labelled documents only (quality 1: good). For every stratum (the
 language), every rule and every point of a fixed grid of cutoffs, the good labelled
-documents that the cutoff would reject are counted. A cutoff is admitted if the exact
-(Clopper-Pearson) upper bound of its false rejection rate is at most ``risk``, at the
-confidence left after dividing ``delta`` by the number of all tests of all strata (Bonferroni).
-Of the admitted cutoffs the one that rejects most bad labelled documents is taken, and of
-equal ones the highest; a rule that rejects no bad document, or of which more good than bad
-documents would go, stays off in that stratum. A stratum without enough labels keeps all.
-
-The guarantee: with probability 1 - delta over the labelled sample, no rule of any stratum
-rejects more than the share ``risk`` of the good documents.
+documents that the cutoff would reject are counted. The exact (Clopper-Pearson) upper bound of its
+false rejection rate is taken at the confidence left after dividing ``delta`` by the number of
+all tests of all strata (Bonferroni). A document is rejected if any rule rejects it, so the
+bounds of the cutoffs of a stratum may sum to ``risk`` at most. Of the combinations within that
+sum the one whose cutoffs reject most bad labelled documents (added over the rules) is taken, and
+of equal ones the one of the highest cutoffs; a rule that rejects no bad document, or of which
+more good than bad documents would go, stays off in that stratum. A stratum without enough
+labels keeps all.
+
+The guarantee: with probability 1 - delta over the labelled sample, the rules of any stratum
+together reject no more than the share ``risk`` of the good documents.
 
 Counting is one pass with partial aggregation; only counts (strata x rules x grid) reach the
 driver. The number of strata is the number of languages, which is checked (``MAX_STRATA``).
@@ -160,16 +162,20 @@ def choose_cutoffs(counts: list[dict], risk: float = RISK, delta: float = DELTA,
     tests = max(1, len(counts) * len(rules) * len(grid))
     out = []
     for row in counts:
+        combined = [(0.0, 0, ())]  # bound, bad documents, cutoffs (None: off)
         for rule in rules:
-            best = None
+            options = [(0.0, 0, None)]
             for cut in grid:
                 good, bad = row[f"good_{rule}_{cut}"], row[f"bad_{rule}_{cut}"]
                 if good > risk * row["good"] or bad <= good:
                     continue
-                if binomial_upper(good, row["good"], delta / tests) <= risk and (best is None or bad >= best[0]):
-                    best = (bad, cut)
-            if best is not None:
-                out.append((row["stratum"], rule, best[1]))
+                upper = binomial_upper(good, row["good"], delta / tests)
+                if upper <= risk:
+                    options.append((upper, bad, cut))
+            combined = [(u + upper, b + bad, (*cuts, cut)) for u, b, cuts in combined
+                        for upper, bad, cut in options if u + upper <= risk]
+        best = max(combined, key=lambda c: (c[1], [math.inf if cut is None else cut for cut in c[2]]))
+        out += [(row["stratum"], rule, cut) for rule, cut in zip(rules, best[2]) if cut is not None]
     return out
 
 

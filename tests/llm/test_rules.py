@@ -164,6 +164,26 @@ def test_binomial_bound_is_exact():
     assert abs(quality.binomial_upper(0, 30, 0.05) - (1 - 0.05 ** (1 / 30))) < 1e-9 and quality.binomial_upper(5, 5, 0.1) == 1.0
 
 
+def test_rules_together_stay_within_the_risk():
+    # good documents rejected by each rule, none of them by two rules; 5: 1.2 percent, 10: 0.3, else none
+    n, lost = 10_000, {5: 120, 10: 30}
+    row = {"stratum": "en", "good": n, "bad": 3000}
+    for k, rule in enumerate(quality.RULES):
+        for cut in quality.GRID:
+            row[f"good_{rule}_{cut}"] = lost.get(cut, 0)
+            row[f"bad_{rule}_{cut}"] = max(0, 900 + k - 10 * quality.GRID.index(cut))
+    chosen = quality.choose_cutoffs([row])
+    assert [r for _, r, _ in chosen] == list(quality.RULES)  # all rules stay on, with higher cutoffs
+    together = sum(lost.get(cut, 0) for _, _, cut in chosen)
+    alpha = quality.DELTA / (len(quality.RULES) * len(quality.GRID))
+    assert quality.binomial_upper(together, n, alpha) <= quality.RISK
+    # one rule alone has all of the risk
+    for rule in quality.RULES[1:]:
+        for cut in quality.GRID:
+            row[f"bad_{rule}_{cut}"] = 0
+    assert quality.choose_cutoffs([row]) == [("en", quality.RULES[0], 5)]
+
+
 def test_rules_reject_bad_and_keep_good(spark, documents):
     own = random.Random(2)
     word = lambda: "".join(own.choice("abcdefghij") for _ in range(6))
