@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from ..schema import CLASS_WEIGHTS, PROBA_THRESHOLD, RANDOM_STATE, TARGET_PREFIX
 from .features import FeatureEncoder, FittedFeatures
 
-# Fixed value: the reference boosts 100 rounds per label.
+# The reference boosts 100 rounds per label and leaves the depth to its library (6).
 DEFAULT_MAX_ITER = 100
-DEFAULT_MAX_DEPTH = 4
+DEFAULT_MAX_DEPTH = 6
 ROWS_PER_PARTITION = 200_000
 
 

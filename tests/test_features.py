@@ -68,3 +68,11 @@ def test_feature_names_follow_assembly(spark):
     assert "gender_V" in names and "entry_channel_freq" in names
     a = fitted.assemble(fitted.transform(_rows(spark))).first()
     assert len(a.features) == len(names)
+
+
+def test_trees_have_the_depth_of_the_reference():
+    import inspect
+
+    from panelkit.operators import model
+    d = inspect.signature(model.fit_product_model).parameters
+    assert (d["max_iter"].default, d["max_depth"].default) == (100, 6)
