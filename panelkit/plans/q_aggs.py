@@ -280,6 +280,25 @@ def a23_qq_points(spark, sf):
                     r6("sample").alias("sample"))
 
 
+def _qq_fit_sql():
+    grid = A.qq_grid(99)
+    vals = ", ".join(f"({i + 1}, CAST({z!r} AS DOUBLE))" for i, (_, z) in enumerate(grid))
+    plist = ", ".join(repr(p) for p, _ in grid)
+    return f"""SELECT round(regr_slope(s, z), 6) AS slope, round(regr_intercept(s, z), 6) AS intercept,
+        round(corr(s, z), 6) AS r
+      FROM (SELECT g.z, q.qs[g.i] AS s
+            FROM (SELECT quantile_cont({_LOG_INCOME}, [{plist}]) AS qs FROM snapshot) q,
+                 (VALUES {vals}) g(i, z))"""
+
+
+@query("a23_qq_fit", with_ctes(_qq_fit_sql(), "snapshot"))
+def a23_qq_fit(spark, sf):
+    """Line through the normal Q-Q points of log income, and its correlation."""
+    s = _snap(spark, sf).select(X.log_or_null("income").alias("log_income"))
+    f = A.qq_fit(s, "log_income", 99)
+    return f.select(*[r6(c).alias(c) for c in f.columns])
+
+
 def _labels_long_sql(where="TRUE"):
     from .q_windows import _order_labelled_sql
     lab = f"SELECT * FROM ({_order_labelled_sql(False)}) WHERE {where}"

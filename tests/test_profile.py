@@ -138,3 +138,13 @@ def test_approx_profile_close_to_exact(spark, sf_small):
         a = approx[c]
         assert (a.non_null, a.nulls, a.zeros, a.dtype) == (e.non_null, e.nulls, e.zeros, e.dtype)
         assert abs(a.n_unique - e.n_unique) <= max(2, 0.05 * e.n_unique)
+
+
+def test_qq_fit_is_the_line_through_the_points(spark, sf_small):
+    from panelkit.plans import catalog
+    catalog.load_all()
+    pts = catalog.QUERIES["a23_qq_points"](spark, sf_small).toPandas()
+    fit = catalog.QUERIES["a23_qq_fit"](spark, sf_small).first()
+    slope, intercept = np.polyfit(pts["theoretical"], pts["sample"], 1)
+    assert abs(fit.slope - slope) < 1e-4 and abs(fit.intercept - intercept) < 1e-4
+    assert abs(fit.r - np.corrcoef(pts["theoretical"], pts["sample"])[0, 1]) < 1e-4
