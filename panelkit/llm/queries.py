@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import (ann, language_id, mixing, ngram_join, packing, quality, suffix_dedup,
-                          token_counts, token_files, warc)
+from panelkit.llm import (alignment, ann, collocations, language_id, mixing, ngram_join, packing, quality, simhash,
+                          suffix_dedup, token_counts, token_files, warc)
 from panelkit.llm._common import importable
 from panelkit.sources.tables import read_table
 
@@ -124,3 +124,46 @@ def op10(spark, sf_dir):
     """Every document's ids written to token files and read back."""
     return token_files.token_files(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op11_alignment")
+def op11(spark, sf_dir):
+    """Groups and links of two tokenizers in every document."""
+    return alignment.align_corpus(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_simhash")
+def op12(spark, sf_dir):
+    """Fingerprints, and components of those that differ in two bits or fewer."""
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_collocations", """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM d),
+g AS (
+  SELECT lang, m, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, t.n,
+    CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM c JOIN t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.k + 1:c.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+u AS (SELECT lang, a, unnest(flatten([[array_to_string(ws[i:i + x - 1], ' ') FOR i IN range(1, m - x + 2)] FOR x IN range(2, m)])) AS phrase
+      FROM (SELECT lang, a, m, string_split(phrase, ' ') AS ws FROM f WHERE m > 2)),
+o AS (SELECT lang, phrase, max(a) AS most FROM u GROUP BY ALL),
+q AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.most IS NULL OR 100 * o.most < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM q QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+""")
+def op13(spark, sf_dir):
+    """The first 2000 collocations of each language."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
