@@ -34,8 +34,10 @@ columns are left out. A very long text is one block.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,8 @@ CACHED_SEGMENTS = 300_000
 CACHED_BYTES = 16 << 20
 #: Sizes of the level bit arrays, as a multiple of the keys that are left.
 GAMMA = 2.0
+#: The byte-level splitting rule of A's library, in public use with this kind of file (fixed value).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
@@ -147,8 +151,45 @@ def split_segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return parts, np.diff(np.searchsorted(cuts, begins[:-1]), append=len(cuts))
 
 
+class Tokens:
+    """Bytes of each id of a tokenizer, laid out for numpy."""
+
+    def __init__(self, of_id: dict[int, bytes]):
+        n = max(of_id) + 1
+        self.of_id = [of_id.get(i, b"") for i in range(n)]
+        self.lens = np.fromiter(map(len, self.of_id), np.int64, n)
+        self.at = starts_of(self.lens)[:-1]
+        self.data = np.frombuffer(b"".join(self.of_id), np.uint8)
+
+    def join(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[gather(self.at[ids], self.lens[ids])]
+
+
+class _Pool:
+    """Lists of ids by slot."""
+
+    def __init__(self):
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.start = np.concatenate([self.start, len(self.ids) + starts_of(sizes)[:-1]])
+        self.size = np.concatenate([self.size, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))])
+
+    def get(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids[gather(self.start[slots], self.size[slots])].astype(np.int64), self.size[slots]
+
+
 class Aligner:
-    """Tokens, groups and links of segments, by a bounded table of segments already aligned."""
+    """Tokens, groups and links of segments, by a bounded table of the segments already encoded.
+
+    Segments of ASCII and Latin letters, digits and marks go to ``tiktoken`` with the vocabulary of
+    A's file, if the ids of that follow the order of its merges: the two libraries then do the
+    same (held against each other in ``tests/llm``), and it is several times faster.
+    """
+
+    PLAIN = re.compile("[\x20-\x7e\n\t\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
     def __init__(self, byte_path: str, piece_path: str, cached: int = CACHED_SEGMENTS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -158,64 +199,102 @@ class Aligner:
         self.a = Tokenizer.from_file(byte_path)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         back = {letter: bytes([b]) for b, letter in _byte_letters().items()}
-        self.a_bytes = {i: b"".join(back.get(c, c.encode()) for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        vocabulary = {i: b"".join(back.get(c, c.encode()) for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.a_tokens = Tokens(vocabulary)
+        self.quick = self._quick(byte_path, vocabulary)
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(names)]
+        self.b_tokens = Tokens({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                                for i, p in enumerate(names)})
         self.cuttable = not any(re.search("[^▁]▁", p) for p in names)
+        if max(len(self.a_tokens.of_id), len(names)) > 65536:
+            raise ValueError("ids must be below 65536")
+        # ids as text before a comma, the bar between A and B, and the end of a group
+        ids = range(max(len(self.a_tokens.of_id), len(names)))
+        self.n_ids = len(ids)
+        self.names = pa.array([f"{i}{mark}" for mark in ",|;" for i in ids], pa.large_string())
         self.limit = cached
         self._clear()
 
+    @staticmethod
+    def _quick(path: str, vocabulary: dict[int, bytes]):
+        """A tiktoken encoding with A's rules and vocabulary; None where the file differs."""
+        import tiktoken
+
+        with open(path) as f:
+            file = json.load(f)
+        split, model = file["pre_tokenizer"] or {}, file["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        base = len(vocabulary) - len(pairs)
+        in_order = all(model["vocab"].get(x + y) == base + k for k, (x, y) in enumerate(pairs))
+        usual = (split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and base == 256
+                 and file["normalizer"] is None and not model.get("ignore_merges") and not model.get("dropout"))
+        if not (usual and in_order):
+            return None
+        return tiktoken.Encoding("bytes", pat_str=SPLIT, mergeable_ranks={b: i for i, b in vocabulary.items()}, special_tokens={})._core_bpe.encode_ordinary
+
     def _clear(self) -> None:
         self.slot: dict[str, int] = {}
         self.held = 0
-        self.groups: list[str] = []
-        self.sizes = np.zeros((0, 4), np.int64)  # tokens of A and B, groups, first place in the pool
-        self.pool, self.used = np.zeros(0, np.int64), 0
-
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> tuple[str, list[int]] | None:
-        """Groups as text and the links (a * 65536 + b); None where the bytes differ."""
-        a_parts = [self.a_bytes.get(i, b"") for i in a]
-        b_parts = [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return None
-        groups, links = [], []
-        i = j = first_i = first_j = end_a = end_b = 0
-        while i < len(a):
-            end_a += len(a_parts[i])
-            i += 1
-            while end_b < end_a:
-                end_b += len(b_parts[j])
-                j += 1
-            if end_a == end_b:
-                links.append(a[i - 1] * 65536 + b[j - 1])
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                first_i, first_j = i, j
-        return ";".join(groups), links
-
-    def _encode(self, parts: list[str]):
-        """(tokens of A, tokens of B, alignment) of strings that start with a space."""
-        for at in range(0, len(parts), 4096):
-            some = parts[at:at + 4096]
-            for s, e, b in zip(some, self.a.encode_batch_fast(some, add_special_tokens=False),
-                               self.b.encode([s[1:] for s in some], num_threads=1)):
-                yield len(e.ids), len(b), self.align(s.encode(), e.ids, b)
+        self.a_pool, self.b_pool = _Pool(), _Pool()
+
+    def encode_a(self, parts: list[str]) -> list[list[int]]:
+        out: list = [None] * len(parts)
+        hard = []
+        for k, s in enumerate(parts):
+            if self.quick is not None and self.PLAIN.fullmatch(s):
+                out[k] = self.quick(s)
+            else:
+                hard.append(k)
+        for at in range(0, len(hard), 4096):
+            some = hard[at:at + 4096]
+            for k, e in zip(some, self.a.encode_batch_fast([parts[k] for k in some], add_special_tokens=False)):
+                out[k] = e.ids
+        return out
+
+    def encode_b(self, parts: list[str]) -> list[list[int]]:
+        return self.b.encode([s[1:] for s in parts], num_threads=1) if parts else []
 
     def _learn(self, parts: list[str]) -> None:
-        rows, links = [], []
-        for part, (n_a, n_b, found) in zip(parts, self._encode(parts)):
-            groups, own = found if found is not None else (None, [])
-            self.slot[part] = len(self.groups)
-            self.groups.append(groups)
-            rows.append((n_a, n_b, len(own), self.used + len(links)))
-            links.extend(own)
-            self.held += len(part) + len(groups or "")
-        if self.used + len(links) > len(self.pool):
-            self.pool = np.resize(self.pool, max(4096, 2 * (self.used + len(links))))
-        self.pool[self.used:self.used + len(links)] = links
-        self.used += len(links)
-        self.sizes = np.concatenate([self.sizes, np.array(rows, np.int64).reshape(-1, 4)])
+        self.slot.update(zip(parts, range(len(self.slot), len(self.slot) + len(parts))))
+        self.held += sum(map(len, parts))
+        for at in range(0, len(parts), 65536):
+            self.a_pool.add(self.encode_a(parts[at:at + 65536]))
+            self.b_pool.add(self.encode_b(parts[at:at + 65536]))
+
+    def align(self, raw: np.ndarray, sizes: np.ndarray, a, n_a, b, n_b):
+        """Of strings (bytes in a row, sizes) and their ids: which of them both tokenizers give back;
+        and for these in a row the number of groups, their links, and the groups as text, each
+        with a semicolon after it."""
+        good = np.ones(len(sizes), bool)
+        for ids, n, tokens in ((a, n_a, self.a_tokens), (b, n_b, self.b_tokens)):
+            sums = starts_of(tokens.lens[ids])
+            ends = starts_of(n)
+            good &= sums[ends[1:]] - sums[ends[:-1]] == sizes
+        for ids, n, tokens in ((a, n_a, self.a_tokens), (b, n_b, self.b_tokens)):
+            same = tokens.join(ids[np.repeat(good, n)]) == raw[np.repeat(good, sizes)]
+            if not same.all():
+                which = np.flatnonzero(good)
+                good[which[np.unique(np.repeat(np.arange(len(which)), sizes[good])[~same])]] = False
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        n_a, n_b = n_a[good], n_b[good]
+        ends_a, ends_b = np.cumsum(self.a_tokens.lens[a]), np.cumsum(self.b_tokens.lens[b])
+        total = int(ends_a[-1]) if len(ends_a) else 0
+        mark = np.zeros(total + 1, np.uint8)
+        mark[ends_a] = 1
+        mark[ends_b] += 2
+        last_a, last_b = mark[ends_a] == 3, mark[ends_b] == 3
+        links = a[last_a] * 65536 + b[last_b]
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b  # group of each token
+        per_a, per_b = starts_of(np.bincount(of_a)), starts_of(np.bincount(of_b))
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + per_b[of_a]] = a + self.n_ids * last_a
+        order[np.arange(len(b)) + per_a[of_b + 1]] = b + 2 * self.n_ids * last_b
+        text = self.names.take(pa.array(order))
+        groups = starts_of(last_a)[starts_of(n_a)]
+        places = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1)[starts_of(n_a + n_b)] if len(text) else np.zeros(len(n_a) + 1, np.int64)
+        strings_ = pa.Array.from_buffers(pa.large_string(), len(n_a), [None, pa.py_buffer(places.copy()), text.buffers()[2] or pa.py_buffer(b"")])
+        return good, np.diff(groups), links, strings_
 
     def block(self, texts: pa.Array) -> dict:
         """Alignment of non-empty texts: per text the columns of the result that need no counts,
@@ -226,52 +305,52 @@ class Aligner:
         else:
             parts, counts = spaced, np.ones(len(texts), np.int64)
         distinct, codes = coded(parts)
-        distinct = distinct.to_pylist()
-        missing = [s for s in distinct if s not in self.slot]
+        names = distinct.to_pylist()
+        missing = [s for s in names if s not in self.slot]
         if len(self.slot) + len(missing) > self.limit or self.held > CACHED_BYTES:
             self._clear()
-            missing = distinct
+            missing = names
         if missing:
             self._learn(missing)
-        slots = np.fromiter(map(self.slot.__getitem__, distinct), np.int64, len(distinct))
-        sizes, names = self.sizes[slots], [self.groups[s] for s in slots.tolist()]
-        links = self.pool[gather(sizes[:, 3], sizes[:, 2])]
-        wrong = np.array([g is None for g in names], bool)
+        slots = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
+        (a, n_a), (b, n_b) = self.a_pool.get(slots), self.b_pool.get(slots)
+        good, per_segment, links, groups = self.align(*_raw(distinct), a, n_a, b, n_b)
         first = starts_of(counts)
-        shas, totals = [], np.zeros((len(texts), 3), np.int64)
-        bad = np.zeros(len(texts), bool)
-        if wrong.any():
-            bad = np.add.reduceat(wrong[codes].astype(np.int64), first[:-1]) > 0
-        for k in range(3):
-            sums = starts_of(sizes[:, k][codes])
-            totals[:, k] = sums[first[1:]] - sums[first[:-1]]
+        bad = np.add.reduceat((~good[codes]).astype(np.int64), first[:-1]) > 0
         kept = np.repeat(~bad, counts)
-        order = codes.tolist()
-        extra_links, extra_sizes, extra_codes = [], [], {}
-        for d in range(len(texts)):
-            if not bad[d]:
-                shas.append(hashlib.sha256(";".join([names[c] for c in order[first[d]:first[d + 1]]]).encode()).hexdigest())
-                continue
+        codes, owners = (np.cumsum(good) - 1)[codes[kept]], np.repeat(np.arange(len(texts)), counts)[kept]
+        n_a, n_b = n_a[good], n_b[good]
+        if bad.any():
             # segments that differ may still add up to the text: the text itself decides
-            n_a, n_b, found = next(self._encode([spaced[d].as_py()]))
-            if found is None:
-                shas.append("")
-                totals[d] = 0
-            else:
-                shas.append(hashlib.sha256(found[0].encode()).hexdigest())
-                totals[d] = n_a, n_b, len(found[1])
-                extra_codes[d] = len(distinct) + len(extra_sizes)
-                extra_sizes.append(len(found[1]))
-                extra_links.extend(found[1])
-        codes, owners = codes[kept], np.repeat(np.arange(len(texts)), counts)[kept]
-        if extra_codes:
-            codes = np.append(codes, list(extra_codes.values()))
-            owners = np.append(owners, list(extra_codes))
-            by_owner = np.argsort(owners, kind="stable")
-            codes, owners = codes[by_owner], owners[by_owner]
-        return {"totals": totals, "sha": shas, "codes": codes, "per_text": np.bincount(owners, minlength=len(texts)),
-                "links": np.append(links, np.array(extra_links, np.int64)),
-                "per_segment": np.append(sizes[:, 2], np.array(extra_sizes, np.int64))}
+            some = spaced.filter(pa.array(bad))
+            lists = [self.encode_a(some.to_pylist()), self.encode_b(some.to_pylist())]
+            sizes = [np.fromiter(map(len, x), np.int64, len(x)) for x in lists]
+            ids = [np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in zip(lists, sizes)]
+            right, more, more_links, more_groups = self.align(*_raw(some), ids[0], sizes[0], ids[1], sizes[1])
+            owners = np.append(owners, np.flatnonzero(bad)[right])
+            codes = np.append(codes, len(per_segment) + np.arange(len(more)))
+            order = np.argsort(owners, kind="stable")
+            codes, owners = codes[order], owners[order]
+            per_segment, links = np.append(per_segment, more), np.append(links, more_links)
+            n_a, n_b = np.append(n_a, sizes[0][right]), np.append(n_b, sizes[1][right])
+            groups = pa.concat_arrays([groups, more_groups])
+        per_text = np.bincount(owners, minlength=len(texts))
+        at = starts_of(per_text)
+        totals = np.zeros((len(texts), 3), np.int64)
+        for k, n in enumerate((n_a, n_b, per_segment)):
+            sums = starts_of(n[codes])
+            totals[:, k] = sums[at[1:]] - sums[at[:-1]]
+        line = groups.take(pa.array(codes))
+        places = np.frombuffer(line.buffers()[1], np.int64, len(line) + 1) if len(line) else np.zeros(1, np.int64)
+        data = memoryview(line.buffers()[2] or b"") if len(line) else b""
+        sha = [hashlib.sha256(data[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(places[at[:-1]].tolist(), places[at[1:]].tolist())]
+        return {"totals": totals, "sha": sha, "codes": codes, "per_text": per_text, "links": links, "per_segment": per_segment}
+
+
+def _raw(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of strings in a row, and the size of each."""
+    offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset:array.offset + len(array) + 1]
+    return np.frombuffer(array.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]], np.diff(offsets)
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}

@@ -22,10 +22,10 @@ def whole(text, tool):
         return zeros
     raw = (" " + text).encode()
     a, b = tool.a.encode(" " + text, add_special_tokens=False).ids, tool.b.encode(text)
-    if b"".join(tool.a_bytes[i] for i in a) != raw or b"".join(tool.b_bytes[i] for i in b) != raw:
+    if b"".join(tool.a_tokens.of_id[i] for i in a) != raw or b"".join(tool.b_tokens.of_id[i] for i in b) != raw:
         return zeros
-    ends_a = np.cumsum([len(tool.a_bytes[i]) for i in a]).tolist()
-    ends_b = np.cumsum([len(tool.b_bytes[i]) for i in b]).tolist()
+    ends_a = np.cumsum([len(tool.a_tokens.of_id[i]) for i in a]).tolist()
+    ends_b = np.cumsum([len(tool.b_tokens.of_id[i]) for i in b]).tolist()
     both, at, groups = sorted(set(ends_a) & set(ends_b)), 0, []
     for end in both:
         groups.append(",".join(str(i) for i, e in zip(a, ends_a) if at < e <= end) + "|"
@@ -95,3 +95,14 @@ def test_minimal_perfect_hash():
     with pytest.raises(ValueError):
         alignment.verified_index(levels, table, keys[:5] ^ 1 << 61)
     assert alignment.build_hash(keys[:0]) == []
+
+
+def test_quick_encoding_is_the_file():
+    tool = alignment.aligner(*alignment.default_tokenizers())
+    own = random.Random(5)
+    letters = [chr(c) for c in [*range(0x20, 0x7F), 10, 9, *range(0xC0, 0x250)]] + [" "] * 40 + list("etaoinsr'") * 9
+    parts = ["".join(own.choices(letters, k=own.randint(1, 30))) for _ in range(4000)]
+    parts += [" don't", "we'll 'S 's", "  \n\n x", "1234567", " <|endoftext|>", "\u00d7 \u00f7", "ﬁ"]
+    assert tool.quick is not None
+    assert tool.encode_a(parts) == [e.ids for e in tool.a.encode_batch(parts, add_special_tokens=False)]
+    assert not tool.PLAIN.fullmatch("\u00d7") and not tool.PLAIN.fullmatch("a\u00a0b")
