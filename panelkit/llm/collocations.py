@@ -12,6 +12,8 @@ only if its two parts that are one word shorter do.
    proposals, and a further pass counts what only now has both parts; until no failure is left.
 4. A last pass takes the texts of the phrases that reached the count and counts them by text.
 
+The words of the corpus are cut out once and written as coded blocks, which the passes read.
+
 Passes 1 to 3 count 64-bit keys, which can only add up to too much where keys collide; pass 4
 counts the phrases themselves, so all numbers are exact. Tasks know the proposals by a filter of
 at most ``FILTER_WORDS`` 64-bit words (64 MB, the only thing broadcast; it is put together from
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,10 +42,12 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 SAMPLE = 16
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: Words of 64 bits in the filter of the proposals, at most; one holds four keys at 16 bits each.
 FILTER_WORDS = 1 << 23
 CHUNK = 1 << 13
+#: Keys that a task holds before it sums or sends them.
+HELD_KEYS = 3_000_000
 #: Languages whose word totals are sent to all executors, at most; beyond, they are joined.
 BROADCAST_LANGS = 10_000
 
@@ -72,44 +77,64 @@ class Filter:
 
 
 class Block:
-    """Words of some texts, and the keys of their phrases."""
+    """Words of some texts, and the keys of their phrases.
+
+    ``codes`` are the words in order, as places in ``words`` (with their ``hashes``); ``first``
+    tells where pieces begin, ``lang`` the language of each word, as a place in ``langs``.
+    """
+
+    def __init__(self, words, hashes: np.ndarray, codes: np.ndarray, first: np.ndarray, lang: np.ndarray, langs: list[str]):
+        import xxhash
 
-    def __init__(self, texts: pa.Array, langs: pa.Array):
+        self.words, self.distinct_hashes, self.codes, self.first, self.lang, self.langs = words, hashes, codes, first, lang, langs
+        self.hashes = hashes[codes]
+        self.piece = np.cumsum(first, dtype=np.int32)
+        lang_hash = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in langs), np.uint64, len(langs))
+        self.lang_hash = lang_hash[lang]
+
+    @classmethod
+    def of_texts(cls, texts: pa.Array, langs: pa.Array) -> "Block":
         import xxhash
 
         texts = strings(texts)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
         data = data | np.where((data >= 0x41) & (data <= 0x5A), np.uint8(0x20), np.uint8(0))
         kind = _KIND[data]
-        begins = (offsets - offsets[0])[:-1]
-        begins = begins[begins < len(data)]
-        first = kind == 0
-        ends = kind == 2  # a new piece begins after
-        fresh = np.zeros(len(data), bool)
-        fresh[begins] = True
-        first[1:] &= (kind[:-1] != 0) | fresh[1:]
-        at = np.flatnonzero(first)
         full = kind == 0
-        # the words of the texts, a space after each: a phrase is one stretch of it
-        size = np.diff(np.append(np.cumsum(full)[at] - 1, full.sum()))
-        self.places = np.append(0, np.cumsum(size + 1)).astype(np.int64)
-        line = np.full(int(self.places[-1]), 0x20, np.uint8)
-        inside = np.ones(len(line), bool)
-        inside[self.places[1:] - 1] = False
-        line[inside] = data[full]
-        self.line = line.tobytes()
-        packed = np.append(0, np.cumsum(size)).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(packed), pa.py_buffer(data[full])])
-        distinct, self.codes = coded(words)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
-        self.hashes = hashes[self.codes] if len(at) else np.zeros(0, np.uint64)
-        self.piece = (np.cumsum(ends) + np.cumsum(fresh))[at]
-        text = np.searchsorted(offsets - offsets[0], at, side="right") - 1
-        self.langs, lang = coded(langs.cast(pa.large_string()))
-        lang_hash = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in self.langs.to_pylist()), np.uint64, len(self.langs))
-        self.lang = lang[text] if len(at) else np.zeros(0, np.int64)
-        self.lang_hash = lang_hash[self.lang] if len(at) else np.zeros(0, np.uint64)
+        first = full.copy()
+        first[1:] &= ~full[:-1]
+        begins = offsets[:-1][offsets[:-1] < len(data)]
+        first[begins] = full[begins]
+        at = np.flatnonzero(first)
+        places = np.append(np.cumsum(full, dtype=np.int32)[at] - 1, full.sum()).astype(np.int64)
+        array = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(places), pa.py_buffer(data[full])])
+        words, codes = coded(array)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+        # a piece ends at a mark or with its text
+        ends = np.flatnonzero(kind == 2)
+        text = np.searchsorted(offsets, at, side="right") - 1
+        piece = np.searchsorted(ends, at) + text
+        distinct, lang = coded(langs.cast(pa.large_string()))
+        return cls(words, hashes, codes, np.diff(piece, prepend=-1) != 0, lang[text], distinct.to_pylist())
+
+    def store(self) -> pa.RecordBatch:
+        run = np.flatnonzero(np.diff(self.lang, prepend=-1))  # languages change between texts only
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x], pa.binary()) for x in (self.codes.astype(np.int32).tobytes(), np.packbits(self.first).tobytes(), self.distinct_hashes.tobytes(),
+                                                  run.tobytes(), self.lang[run].astype(np.int32).tobytes())]
+            + [pa.array([self.langs], pa.list_(pa.string())), pa.array([self.words.to_pylist()], pa.list_(pa.string()))],
+            names=["codes", "first", "hashes", "run", "run_lang", "langs", "words"])
+
+    @classmethod
+    def load(cls, batch: pa.RecordBatch, k: int) -> "Block":
+        codes = np.frombuffer(batch.column("codes")[k].as_py(), np.int32).astype(np.int64)
+        first = np.unpackbits(np.frombuffer(batch.column("first")[k].as_py(), np.uint8), count=len(codes)).astype(bool)
+        run = np.frombuffer(batch.column("run")[k].as_py(), np.int64)
+        lang = np.repeat(np.frombuffer(batch.column("run_lang")[k].as_py(), np.int32).astype(np.int64), np.diff(run, append=len(codes)))
+        words = batch.column("words")[k].values if "words" in batch.schema.names else None
+        return cls(words, np.frombuffer(batch.column("hashes")[k].as_py(), np.uint64), codes, first, lang, batch.column("langs")[k].as_py())
 
     def keys(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the phrases of ``m`` words at all places, and whether they lie in one piece.
@@ -142,8 +167,10 @@ class Block:
             if before is not None:
                 earlier = _has(before, keys, done)
 
-    def phrase(self, at: int, m: int) -> str:
-        return self.line[self.places[at]:self.places[at + m] - 1].decode()
+    def phrases(self, at: np.ndarray, m: int) -> list[str]:
+        """Texts of the phrases of ``m`` words at some places."""
+        columns = [self.words.take(pa.array(self.codes[at + j])) for j in range(m)]
+        return pc.binary_join_element_wise(*columns, " ").to_pylist() if m > 1 else columns[0].to_pylist()
 
 
 def _has(known: Filter, keys: np.ndarray, where: np.ndarray) -> np.ndarray:
@@ -173,21 +200,58 @@ def _blocks(batches):
             texts, langs = part.column("text"), part.column("lang")
             if part.num_rows == 1 and texts[0].is_valid and len(texts[0].as_py()) > BLOCK_BYTES:
                 for some in cut_long(texts[0].as_py()):
-                    yield Block(pa.array([some], pa.large_string()), langs)
+                    yield Block.of_texts(pa.array([some], pa.large_string()), langs)
             else:
-                yield Block(texts, langs)
+                yield Block.of_texts(texts, langs)
+
+
+_STORED = "codes binary, first binary, hashes binary, run binary, run_lang binary, langs array<string>, words array<string>"
 
 
-def _key_counts(texts: DataFrame, least: int, known=None, before=None) -> DataFrame:
+def _stored(texts: DataFrame) -> DataFrame:
+    """The blocks of all texts, their words cut out once and coded."""
+    return texts.mapInArrow(lambda batches: (block.store() for block in _blocks(batches)), _STORED)
+
+
+def _loaded(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Block.load(batch, k)
+
+
+def _key_counts(blocks: DataFrame, least: int, known=None, before=None) -> DataFrame:
     """(key, n) of the phrases counted ``least`` times or more."""
     def count(batches):
-        for block in _blocks(batches):
+        held, n_held = [], 0
+        for block in _loaded(batches):
             for _, _, keys in block.counted(known and Filter(known.value), before and Filter(before.value)):
-                keys, n = np.unique(keys, return_counts=True)
-                for at in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 100_000].view(np.int64)), pa.array(n[at:at + 100_000].astype(np.int64))], names=["key", "n"])
+                held.append(np.unique(keys, return_counts=True))
+                n_held += len(held[-1][0])
+            if n_held > HELD_KEYS:
+                held, n_held = [_summed(held)], 0
+                n_held = len(held[0][0])
+                if 2 * n_held > HELD_KEYS:
+                    yield from _rows(*held.pop())
+                    n_held = 0
+        if held:
+            yield from _rows(*_summed(held))
+
+    # tasks have summed their own keys: the rows go to their partition as they are
+    counted = blocks.drop("words").mapInArrow(count, "key long, n long").repartition("key")
+    return counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = (np.concatenate(x) for x in zip(*counts))
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[new], np.add.reduceat(n, new) if len(new) else n
+
 
-    return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+def _rows(keys: np.ndarray, n: np.ndarray):
+    for at in range(0, len(keys), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 50_000].view(np.int64)), pa.array(n[at:at + 50_000].astype(np.int64))], names=["key", "n"])
 
 
 def _filter(spark: SparkSession, keys: DataFrame, n_words: int):
@@ -223,8 +287,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample: int =
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    texts = rows.select("text", "lang")
-    some = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).select("text", "lang")
+    texts = materialise(_stored(rows.select("text", "lang")), "phrase-blocks")
+    some = _stored(rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).select("text", "lang"))
     proposed = materialise(_key_counts(some, max(2, min_count // (2 * sample))).select("key"), "phrase-proposed")
     n_words = 2 * _size(proposed.count())  # room for the failures
     n_words = min(FILTER_WORDS, n_words)
@@ -241,11 +305,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample: int =
     wanted = _filter(spark, frequent, _size(frequent.count()))
 
     def name(batches):
-        for block in _blocks(batches):
-            known = Filter(wanted.value)
-            total = np.bincount(block.lang, minlength=len(block.langs))
-            out = [(x, 0, "", int(n)) for x, n in zip(block.langs.to_pylist(), total) if n]
-            langs = block.langs.to_pylist()
+        for block in _loaded(batches):
+            known, langs = Filter(wanted.value), block.langs
+            out = [(x, 0, "", int(n)) for x, n in zip(langs, np.bincount(block.lang, minlength=len(langs))) if n]
             for m in range(1, LONGEST + 1):
                 keys, whole = block.keys(m)
                 at = np.flatnonzero(whole)
@@ -258,8 +320,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample: int =
                 for j in range(m):
                     same &= block.codes[own + j] == block.codes[head + j]
                 counts = np.bincount(group[same], minlength=len(first))
-                out += [(langs[block.lang[i]], m, block.phrase(i, m), int(n)) for i, n in zip(at[first].tolist(), counts.tolist())]
-                out += [(langs[block.lang[i]], m, block.phrase(i, m), 1) for i in own[~same].tolist()]  # keys that collide
+                heads, odd = at[first], own[~same]  # keys that collide are phrases of their own
+                out += [(langs[x], m, p, int(n)) for x, p, n in zip(block.lang[heads].tolist(), block.phrases(heads, m), counts.tolist())]
+                out += [(langs[x], m, p, 1) for x, p in zip(block.lang[odd].tolist(), block.phrases(odd, m))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.int32(), pa.string(), pa.int64()))],
                                                  names=["lang", "m", "phrase", "f"])

@@ -57,6 +57,7 @@ def test_matches_plain_counting(spark, documents, monkeypatch):
     want = plain(rows, 20, 30)
     assert {r[0] for r in want} == {"en", "fr", "und"}
     monkeypatch.setattr(C, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(C, "HELD_KEYS", 500)
     for sample in (1, 16, 10_000):  # a whole, a usual and (nearly) no sample: border failures
         got = C.collocations(docs, 20, 30, sample)
         assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -72,7 +73,7 @@ def test_a_full_filter_changes_nothing(spark, documents, monkeypatch):
 
 def test_passes_count_once(spark):
     """What a later pass counts is what has both parts in the new filter and had not in the old."""
-    block = C.Block(pa.array(["a b c d a b c d. x a b"]), pa.array(["en"]))
+    block = C.Block.of_texts(pa.array(["a b c d a b c d. x a b"]), pa.array(["en"]))
     every = {m: set(keys.tolist()) for m, _, keys in block.counted(None)}
     words = np.array(sorted(every[1]), np.uint64)
 
