@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import null_count
 from ..schema import NAN_THRESHOLD, TARGET_PREFIX
+from . import bitmask
 from .running import md5_key
 
 
@@ -175,20 +176,9 @@ def product_changes(df: DataFrame, products: Sequence[str], id_col: str = "id",
 
 def count_changes(df: DataFrame, products: Sequence[str], id_col: str = "id",
                   order_col: str = "fetch_date") -> DataFrame:
-    """Number of changes (any, +1, -1) over all products and rows."""
-    d = product_changes(df, products, id_col, order_col)
-    diffs = [F.col(p + "_diff") for p in products]
-
-    def total(pred):
-        terms = [F.sum(F.when(pred(x), 1).otherwise(0)) for x in diffs]
-        out = terms[0]
-        for t in terms[1:]:
-            out = out + t
-        return out.cast("long")
-
-    return d.agg(total(lambda x: x != 0).alias("n_changes"),
-                 total(lambda x: x == 1).alias("n_up"),
-                 total(lambda x: x == -1).alias("n_down"))
+    """Number of changes (any, +1, -1) over all products and rows, from bit masks."""
+    t = bitmask.transition_counts(df, products, id_col, order_col)
+    return t.select((F.col("n01") + F.col("n10")).alias("n_changes"), F.col("n01").alias("n_up"), F.col("n10").alias("n_down"))
 
 
 def transitions_long(df: DataFrame, products: Sequence[str], id_col: str = "id",
@@ -209,14 +199,11 @@ def transition_table(df: DataFrame, products: Sequence[str], id_col: str = "id",
     product), the reference's denominator. Without NULL gaps this equals the
     number of consecutive pairs.
     """
-    from .profile import comparable_cells
-    t = transitions_long(df, products, id_col, order_col).where(
-        F.col("prev").isNotNull() & F.col("cur").isNotNull())
-    counts = t.groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("n"))
-    comp = comparable_cells(df, products, id_col).withColumn("_k", F.lit(0))
-    # One-row denominator joined on a constant key (a broadcast of one row).
-    j = counts.withColumn("_k", F.lit(0)).join(F.broadcast(comp), "_k")
-    return j.select("prev", "cur", "n", (F.col("n") / F.col("comparable_cells")).alias("share"))
+    t = bitmask.transition_counts(df, products, id_col, order_col)
+    cells = F.explode(F.array(*[F.struct(F.lit(x).alias("prev"), F.lit(y).alias("cur"), F.col(f"n{x}{y}").alias("n"))
+                                for x in (0, 1) for y in (0, 1)])).alias("t")
+    rows = t.select(cells, "comparable_cells").where("t.n > 0")
+    return rows.select("t.prev", "t.cur", "t.n", (F.col("t.n") / F.col("comparable_cells")).alias("share"))
 
 
 def period_totals(df: DataFrame, products: Sequence[str],

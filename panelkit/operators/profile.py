@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import null_count
+from . import bitmask
 from .running import exact_quantiles
 
 
@@ -41,7 +42,7 @@ def distinct_per_period(df: DataFrame, period: str = "fetch_date", id_col: str =
 
 def client_product_summary(df: DataFrame, products: Sequence[str], id_col: str = "id",
                            order_col: str = "fetch_date") -> DataFrame:
-    """A03-A07 in one per-client aggregation and one scalar aggregation.
+    """A03-A07 in one per-client aggregation of bit masks and one scalar aggregation.
 
     mean_periods_held  A03: mean over clients of the summed product flags
     mean_products      A04: mean over clients of the summed per-product means
@@ -52,34 +53,7 @@ def client_product_summary(df: DataFrame, products: Sequence[str], id_col: str =
     NULL cells are skipped as pandas does; a product with no value at all never
     compares equal (NaN != NaN).
     """
-    aggs = []
-    for p in products:
-        x = F.col(p)
-        aggs += [
-            F.sum(x).alias(f"s_{p}"),
-            F.avg(x).alias(f"m_{p}"),
-            F.expr(f"min_by(`{p}`, `{order_col}`) FILTER (WHERE `{p}` IS NOT NULL)")
-            .alias(f"f_{p}"),
-            F.expr(f"max_by(`{p}`, `{order_col}`) FILTER (WHERE `{p}` IS NOT NULL)").alias(f"l_{p}"),
-        ]
-    per = df.groupBy(id_col).agg(*aggs)
-    total = _sum_cols([F.coalesce(F.col(f"s_{p}"), F.lit(0)) for p in products])
-    mean_sum = _sum_cols([F.coalesce(F.col(f"m_{p}"), F.lit(0.0)) for p in products])
-    same_ends = F.lit(True)
-    unchanged = F.lit(True)
-    for p in products:
-        same_ends = same_ends & F.coalesce(F.col(f"f_{p}") == F.col(f"l_{p}"), F.lit(False))
-        unchanged = unchanged & F.coalesce(F.col(f"f_{p}") == F.col(f"m_{p}"), F.lit(False))
-    per = per.select(total.alias("total"), mean_sum.alias("mean_sum"),
-                     same_ends.alias("same_ends"), unchanged.alias("unchanged"))
-    return per.agg(
-        F.avg("total").alias("mean_periods_held"),
-        F.avg("mean_sum").alias("mean_products"),
-        F.avg((F.col("mean_sum") <= 1).cast("double")).alias("share_le_one"),
-        F.avg((F.col("total") == 0).cast("double")).alias("share_never"),
-        F.avg(F.col("same_ends").cast("double")).alias("share_same_ends"),
-        F.avg(F.col("unchanged").cast("double")).alias("share_unchanged"),
-    )
+    return bitmask.client_summary(df, products, id_col, order_col)
 
 
 def comparable_cells(df: DataFrame, products: Sequence[str], id_col: str = "id") -> DataFrame:
@@ -461,11 +435,13 @@ def association(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def hash_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
     """Fixed-size seeded sample: the n rows with the smallest md5(key, seed).
 
-    The rank comes from ``running.seeded_rank`` (distributed), not from a global
-    ``orderBy().limit(n)`` whose final merge would hold n x partitions rows.
+    The n-th smallest hash comes from radix selection; one filter then takes the rows: no
+    ranking, sort or shuffle of the table.
     """
-    from .running import seeded_rank
-    return seeded_rank(df, [], list(key_cols), seed).where(F.col("rank") <= n).drop("rank")
+    from .running import md5_key
+    from .selection import mark_smallest
+    marked = mark_smallest(df, md5_key(list(key_cols), seed), lambda _, rows: n)
+    return marked.where("_chosen").drop("_chosen")
 
 
 def append_total(df: DataFrame, label_col: str, value_cols: Sequence[str],

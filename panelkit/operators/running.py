@@ -93,12 +93,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float],
                     keys: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (``quantile_cont``), distributed.
 
-    Values are first counted per distinct value (a hot value collapses to one
+    Without keys by radix selection (``selection``). With keys, values are first counted per distinct value (a hot value collapses to one
     row), then ranked with ``running_sums``; each requested position picks the
     value whose cumulative range covers it. Returns (keys..., p, q).
     """
     from pyspark import StorageLevel
+
+    from .selection import quantiles
     keys = list(keys or [])
+    if not keys:
+        return quantiles(df, value, probs)
     # Distinct values with their counts: read by the bounds, the range windows
     # and the totals, so they are kept (at most one row per distinct value).
     counts = (df.where(F.col(value).isNotNull())

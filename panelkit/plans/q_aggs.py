@@ -35,25 +35,25 @@ def a02_clients_per_period(spark, sf):
     return A.distinct_per_period(S.event_panel(spark, sf))
 
 
-def _summary_sql():
+def client_summary_sql(products=OP, src="snapshot"):
     per = ", ".join(
         f"sum({p}) AS s_{p}, avg({p}) AS m_{p}, "
         f"arg_min({p}, fetch_date) FILTER (WHERE {p} IS NOT NULL) AS f_{p}, "
-        f"arg_max({p}, fetch_date) FILTER (WHERE {p} IS NOT NULL) AS l_{p}" for p in OP)
-    total = " + ".join(f"coalesce(s_{p}, 0)" for p in OP)
-    msum = " + ".join(f"coalesce(m_{p}, 0.0)" for p in OP)
-    same = " AND ".join(f"coalesce(f_{p} = l_{p}, false)" for p in OP)
-    unch = " AND ".join(f"coalesce(f_{p} = m_{p}, false)" for p in OP)
+        f"arg_max({p}, fetch_date) FILTER (WHERE {p} IS NOT NULL) AS l_{p}" for p in products)
+    total = " + ".join(f"coalesce(s_{p}, 0)" for p in products)
+    msum = " + ".join(f"coalesce(m_{p}, 0.0)" for p in products)
+    same = " AND ".join(f"coalesce(f_{p} = l_{p}, false)" for p in products)
+    unch = " AND ".join(f"coalesce(f_{p} = m_{p}, false)" for p in products)
     return f"""SELECT round(avg(total), 6) AS mean_periods_held, round(avg(mean_sum), 6) AS mean_products,
       round(avg(CAST(mean_sum <= 1 AS DOUBLE)), 6) AS share_le_one,
       round(avg(CAST(total = 0 AS DOUBLE)), 6) AS share_never,
       round(avg(CAST(same_ends AS DOUBLE)), 6) AS share_same_ends,
       round(avg(CAST(unchanged AS DOUBLE)), 6) AS share_unchanged
     FROM (SELECT {total} AS total, {msum} AS mean_sum, {same} AS same_ends, {unch} AS unchanged
-          FROM (SELECT id, {per} FROM snapshot GROUP BY id))"""
+          FROM (SELECT id, {per} FROM {src} GROUP BY id))"""
 
 
-@query("a03_a07_client_product_summary", with_ctes(_summary_sql(), "snapshot"))
+@query("a03_a07_client_product_summary", with_ctes(client_summary_sql(), "snapshot"))
 def a03_a07_client_product_summary(spark, sf):
     """A03-A07 (A03, A04, A05, A06, A07): holding per client, never / unchanged / same ends."""
     s = A.client_product_summary(_snap(spark, sf), OP)

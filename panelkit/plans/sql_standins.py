@@ -135,7 +135,27 @@ scored_panel AS (
   WHERE l.fetch_date > DATE '{EVENT_SPLIT_DATE}')"""
 
 
+def _wide_panel() -> str:
+    from ..sources.standins import WIDE_CONDITIONS, wide_null_rule, wide_products
+    products = wide_products()
+    flags = ", ".join(f"max(CASE WHEN {c} THEN 1 ELSE 0 END) AS {p}" for p, c in zip(products, WIDE_CONDITIONS))
+    rules = [(p, wide_null_rule(i)) for i, p in enumerate(products)]
+    out = ", ".join(p if r is None else f"CASE WHEN NOT ({r}) THEN {p} END AS {p}" for p, r in rules)
+    return f"""wide_flags AS (
+  SELECT o_custkey AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS fetch_date, {flags} FROM orders GROUP BY 1, 2),
+wide_panel AS (SELECT id, fetch_date, {out} FROM wide_flags)"""
+
+
+def _wide_snapshot() -> str:
+    from ..schema import PRODUCT_PREFIX, column_names
+    columns = ", ".join(("w." if c.startswith(PRODUCT_PREFIX) else "s.") + c for c in column_names())
+    return f"""wide_snapshot AS (
+  SELECT {columns} FROM snapshot s JOIN wide_panel w ON s.id = w.id AND s.fetch_date = w.fetch_date)"""
+
+
 _DEFS = {
+    "wide_panel": ([], _wide_panel),
+    "wide_snapshot": (["snapshot", "wide_panel"], _wide_snapshot),
     "scored_panel": (["event_panel"], _scored_panel),
     "event_panel": ([], _event_panel),
     "order_panel": ([], _order_panel),

@@ -9,6 +9,8 @@ runs on data whose size grows with the scale factor. Each has a DuckDB twin in
   order_panel   orders per (customer, month): five 0/1 product flags
   snapshot      order_panel + customer + nation as a client-month snapshot
                 with the reference's column names and raw string formats
+  wide_panel    orders per (customer, month): 24 product flags, some NULL
+  wide_snapshot snapshot's client columns and the 24 flags: all 48 columns
   nullable      lineitem with nulls made by rule (sparse columns)
   scored        labels + documents as two-label predictions, long form
   metric_events events as a monitoring stream (target = event type)
@@ -20,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import PRODUCT_PREFIX, column_names, product_columns
 from .tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -133,6 +136,43 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What makes each of the 24 products of the wide panel 1, in the products' order; the same text
+#: is Spark and DuckDB SQL over ``orders``.
+WIDE_CONDITIONS = (
+    [f"o_orderpriority = '{p}'" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+    + [f"o_orderstatus = '{s}'" for s in "FOP"]
+    + [f"o_totalprice >= {50000 * k}" for k in range(1, 9)]
+    + [f"day(o_orderdate) BETWEEN {8 * k + 1} AND {8 * k + 8}" for k in range(4)]
+    + [f"o_orderkey % 7 = {k}" for k in range(4)])
+
+
+def wide_products() -> list[str]:
+    """The 24 product columns of the full panel."""
+    return product_columns(column_names())
+
+
+def wide_null_rule(i: int) -> str | None:
+    """Where product ``i`` of the wide panel is NULL; the same text in both engines."""
+    return f"(id + month(fetch_date) + {i}) % 29 = 0" if i % 5 == 2 else None
+
+
+def wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders per (customer, month) with the 24 product flags of the full panel, some NULL."""
+    products = wide_products()
+    o = read_table(spark, sf_dir, "orders")
+    flags = o.groupBy(F.col("o_custkey").alias("id"), F.trunc(F.to_date("o_orderdate"), "month").alias("fetch_date")).agg(
+        *[_flag(F.expr(c)).alias(p) for p, c in zip(products, WIDE_CONDITIONS)])
+    rules = [(p, wide_null_rule(i)) for i, p in enumerate(products)]
+    return flags.select("id", "fetch_date", *[F.col(p) if r is None else F.when(~F.expr(r), F.col(p)).alias(p) for p, r in rules])
+
+
+def wide_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 48 columns of the full panel: the client columns of ``snapshot`` and 24 flags."""
+    client = [c for c in column_names() if not c.startswith(PRODUCT_PREFIX)]
+    rows = snapshot(spark, sf_dir).select(*client)
+    return rows.join(wide_panel(spark, sf_dir), ["id", "fetch_date"]).select(*column_names())
+
+
 def _by_id():
     from pyspark.sql import Window
     return Window.partitionBy("id")
