@@ -106,6 +106,34 @@ def q08_throttled_gauge_10s(spark, sf):
     return _run(spark, sf, Q.throttled_gauge, [*WINDOW, "target"], name="q08")
 
 
+def _throttle_sql(seconds):
+    return f"""WITH RECURSIVE e AS (
+      SELECT event_type AS target, ts, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, value) AS k
+      FROM events WHERE value IS NOT NULL),
+    r AS (
+      SELECT target, k, ts, value, ts AS last_send, true AS sent FROM e WHERE k = 1
+      UNION ALL
+      SELECT e.target, e.k, e.ts, e.value,
+        CASE WHEN e.ts > r.last_send + INTERVAL {seconds} SECOND THEN e.ts ELSE r.last_send END,
+        e.ts > r.last_send + INTERVAL {seconds} SECOND
+      FROM r JOIN e ON e.target = r.target AND e.k = r.k + 1)
+    SELECT target, ts, value FROM r WHERE sent"""
+
+
+@query("q08_gauge_since_last_send", _throttle_sql(10))
+def q08_gauge_since_last_send(spark, sf):
+    """Q08: a gauge value when more than 10 seconds have passed since the last send (keyed state)."""
+    out = scratch_dir(spark, "q08-state")
+    return spark.read.parquet(Q.run_to_parquet(Q.since_last_send(Q.event_stream(spark, sf)), out, keyed_state=True))
+
+
+@query("q08_gauge_since_last_send_1h", _throttle_sql(3600))
+def q08_gauge_since_last_send_1h(spark, sf):
+    """Q08 with an hour between sends."""
+    out = scratch_dir(spark, "q08-state")
+    return spark.read.parquet(Q.run_to_parquet(Q.since_last_send(Q.event_stream(spark, sf), 3600), out, keyed_state=True))
+
+
 @query("q09_elapsed_seconds",
        "SELECT event_type AS target, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) "
        "AS elapsed_seconds FROM events GROUP BY event_type")

@@ -11,7 +11,8 @@ queries over an event stream ``(ts, target, response_time, ...)``:
   Q05 gauge: last non-NULL value per series
   Q06 gauge mean per series and window
   Q07 sum over the range per target (from Q01's output)
-  Q08 throttled gauge: at most one value per 10 seconds
+  Q08 throttled gauge: a value when more than 10 seconds have passed since the last one sent
+      (keyed state), and the last value of 10-second windows
   Q09 elapsed time since the first event of each series
   Q10 stream scoring: JSON requests in, recommendations out
 
@@ -143,6 +144,54 @@ def throttled_gauge(events: DataFrame, every: str = "10 seconds", series: str =
     return _bounds(g)
 
 
+def since_last_send(events: DataFrame, seconds: float = 10.0, ttl_days: float | None = None, series: str = "target",
+                    value: str = "response_time", watermark: str = WATERMARK) -> DataFrame:
+    """Q08: (series, ts, value) of the events that are sent: the first of a series, and each one more
+    than ``seconds`` after the one sent before it, as the service's throttle does.
+
+    The time of the last send is keyed state (``transformWithState``), so it outlives batches and
+    restarts. Within a batch a series' events are taken in time order; NULL values are not sent,
+    and events older than the watermark are dropped. A task holds 16 bytes for each event that a
+    series has in one batch, so bound batches by ``max_files_per_trigger``. The state is one
+    number per series. With ``ttl_days`` (for streams that never end: the available-now trigger
+    does not stop over processing time) that of a series without events goes after so many days.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    step, ttl = int(seconds * 1e6), None if ttl_days is None else int(ttl_days * 86_400_000)
+
+    class Throttle(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.last = handle.getValueState("last_send", T.StructType([T.StructField("micros", T.LongType())]), ttl)
+
+        def handleInputRows(self, key, rows, timerValues):
+            import numpy as np
+            import pandas as pd
+
+            parts = [(p["micros"].to_numpy(), p["value"].to_numpy()) for p in rows]
+            at, values = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((values, at))
+            at, values = at[order], values[order]
+            k, sent = 0, []
+            if self.last.exists():
+                k = int(np.searchsorted(at, self.last.get()[0] + step, side="right"))
+            while k < len(at):
+                sent.append(k)
+                k = int(np.searchsorted(at, at[k] + step, side="right"))
+            if sent:
+                self.last.update((int(at[sent[-1]]),))
+                yield pd.DataFrame({series: key[0], "micros": at[sent], "value": values[sent]})
+
+        def close(self) -> None:
+            pass
+
+    rows = (events.withWatermark("ts", watermark).where(F.col(value).isNotNull())
+            .select(series, F.unix_micros("ts").alias("micros"), F.col(value).cast("double").alias("value")))
+    sent = rows.groupBy(series).transformWithStateInPandas(
+        Throttle(), f"{series} string, micros long, value double", "Append", "None" if ttl is None else "ProcessingTime")
+    return sent.select(series, F.timestamp_micros("micros").cast("timestamp_ntz").alias("ts"), "value")
+
+
 def elapsed(events: DataFrame, series: str = "target") -> DataFrame:
     """Q09: seconds from each series' first event to its latest."""
     g = events.groupBy(series).agg(F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
@@ -151,13 +200,14 @@ def elapsed(events: DataFrame, series: str = "target") -> DataFrame:
 
 
 def run_to_parquet(stream: DataFrame, out_dir: str, mode: str = "append",
-                   available_now: bool = True) -> str:
+                   available_now: bool = True, keyed_state: bool = False) -> str:
     """Run a streaming query to completion (available-now trigger) into a
     Parquet folder; the checkpoint sits next to it. Returns the data path.
 
     Append goes to the file sink. Complete mode overwrites the table. In update mode each
     batch holds the changed rows alone: it is written to a folder of its own (a batch run
-    again overwrites just that), and ``latest`` reads the newest row of each key.
+    again overwrites just that), and ``latest`` reads the newest row of each key. ``keyed_state``
+    runs the query with the RocksDB store that ``transformWithState`` needs.
     """
     data = os.path.join(out_dir, "data")
     ckpt = os.path.join(out_dir, "_checkpoint")
@@ -169,8 +219,15 @@ def run_to_parquet(stream: DataFrame, out_dir: str, mode: str = "append",
             to = data if mode == "complete" else os.path.join(data, f"batch={epoch}")
             batch.write.mode("overwrite").parquet(to)
         w = w.foreachBatch(write)
-    q = (w.trigger(availableNow=True) if available_now else w).start()
-    q.awaitTermination()
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    usual = conf.get(name)
+    if keyed_state:
+        conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = (w.trigger(availableNow=True) if available_now else w).start()
+        q.awaitTermination()
+    finally:
+        conf.set(name, usual)
     return data
 
 
