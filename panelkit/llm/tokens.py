@@ -10,6 +10,7 @@ against encoding of whole texts.
 
 from __future__ import annotations
 
+import json
 import os
 from itertools import chain
 
@@ -54,6 +55,8 @@ def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     kind = _KIND[data]
     lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))  # U+00C0 to U+017F
     lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+    # U+0130 ends in a combining dot once lower-cased, which joins the mark after it
+    lead = lead[(data[lead] != 0xC4) | (data[lead + 1] != 0xB0)]
     kind[lead] = kind[lead + 1] = _LETTER
     full = kind > 0
     first = full.copy()
@@ -68,6 +71,15 @@ def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     pieces = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(places), pa.py_buffer(data[full])])
     return pieces, np.diff(np.searchsorted(at, offsets - offsets[0]))
 
+#: The rules that the cuts above follow (fixed values, as in the file): others' files are encoded
+#: by whole texts.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -85,6 +97,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path) as f:
+            file = json.load(f)
+        self.by_pieces = file["normalizer"] == NORMALIZER and file["pre_tokenizer"] == SPLITTER
         self.limit = cached_words
         self._clear()
 
@@ -128,8 +143,17 @@ class WordEncoder:
         self.used += len(ids)
         self.slot.update(zip(words, range(at, at + len(words))))
 
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for at in range(0, len(texts), 256):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts.slice(at, 256).to_pylist(), add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), starts_of(sizes)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32) and the first position of each text (one more at the end)."""
+        if not self.by_pieces:
+            return self._whole(strings(texts))
         words, counts = split_pieces(strings(texts))
         distinct, codes = coded(words)
         distinct = distinct.to_pylist()

@@ -138,3 +138,17 @@ def test_curve_brings_like_documents_together():
     docs = [own.choice(topics[k % 6], 300).astype(np.uint32) for k in range(120)]
     order = np.argsort(curve.keys(docs), kind="stable") % 6
     assert (order[1:] == order[:-1]).mean() > 0.5
+
+
+def test_ids_of_random_texts_are_those_of_whole_texts():
+    import public_tokenizers
+
+    own = random.Random(11)
+    letters = ([chr(c) for c in range(0xC0, 0x180)] + [chr(c) for c in range(0x21, 0x7F)] + ["\u0130"] * 25
+               + ["\u0301", "\u0307", "\u0338", "\u030a", "\u0345"] * 5 + [" ", "\t", "\n", "\u00a0", "\u2003", "\u3000"] * 6 + list("is'tdm.") * 4)
+    texts = ["".join(own.choices(letters, k=own.randint(1, 14))) for _ in range(8000)] + ["\u0130.", "\u0130\u0307.", "A\u0130B,\u0130 x"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):  # the second has other rules
+        path = str(public_tokenizers.path(name))
+        ids, first = WordEncoder(path).encode(pa.array(texts))
+        whole = WordEncoder(path).tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [e.ids for e in whole], name
