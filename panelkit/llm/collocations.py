@@ -48,6 +48,8 @@ FILTER_WORDS = 1 << 23
 CHUNK = 1 << 13
 #: Keys that a task holds before it sums or sends them.
 HELD_KEYS = 3_000_000
+#: Phrases that a task holds with their texts before it sends them.
+HELD_PHRASES = 400_000
 #: Languages whose word totals are sent to all executors, at most; beyond, they are joined.
 BROADCAST_LANGS = 10_000
 
@@ -146,6 +148,15 @@ class Block:
                 sums = sums + self.hashes[j:j + n] * _ODD[j]
         return (mix64(sums) & ~np.uint64(7)) | np.uint64(m), self.piece[:n] == self.piece[m - 1:m - 1 + n]
 
+    def second(self, m: int) -> np.ndarray:
+        """Another hash of the phrases of ``m`` words at all places."""
+        n = max(len(self.hashes) - m + 1, 0)
+        with np.errstate(over="ignore"):
+            sums = mix64(self.lang_hash[:n] ^ _ODD[21])
+            for j in range(m):
+                sums = sums * _ODD[22] + mix64(self.hashes[j:j + n])
+        return sums
+
     def counted(self, known: Filter | None, before: Filter | None = None):
         """(m, places, keys) of the phrases with both parts in ``known`` and not both in ``before``;
         without ``known`` all phrases."""
@@ -221,6 +232,8 @@ def _loaded(batches):
 
 def _key_counts(blocks: DataFrame, least: int, known=None, before=None) -> DataFrame:
     """(key, n) of the phrases counted ``least`` times or more."""
+    parts = 4 * wanted_partitions(blocks.sparkSession)
+
     def count(batches):
         held, n_held = [], 0
         for block in _loaded(batches):
@@ -231,14 +244,19 @@ def _key_counts(blocks: DataFrame, least: int, known=None, before=None) -> DataF
                 held, n_held = [_summed(held)], 0
                 n_held = len(held[0][0])
                 if 2 * n_held > HELD_KEYS:
-                    yield from _rows(*held.pop())
+                    yield from _packed(*held.pop(), parts)
                     n_held = 0
         if held:
-            yield from _rows(*_summed(held))
+            yield from _packed(*_summed(held), parts)
 
-    # tasks have summed their own keys: the rows go to their partition as they are
-    counted = blocks.drop("words").mapInArrow(count, "key long, n long").repartition("key")
-    return counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    def total(table: pa.Table) -> pa.Table:
+        keys, n = _summed([_unpacked(k, c) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist())])
+        often = n >= least
+        return pa.table({"key": keys[often].view(np.int64), "n": n[often]})
+
+    # a range of keys is one group; tasks have summed and packed their own
+    packed = blocks.drop("words").mapInArrow(count, "part int, keys binary, counts binary")
+    return packed.groupBy("part").applyInArrow(total, "key long, n long")
 
 
 def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +267,26 @@ def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def _rows(keys: np.ndarray, n: np.ndarray):
-    for at in range(0, len(keys), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 50_000].view(np.int64)), pa.array(n[at:at + 50_000].astype(np.int64))], names=["key", "n"])
+def _packed(keys: np.ndarray, n: np.ndarray, parts: int):
+    """Sorted keys by range: the distances between them, the bytes of one order in a row (the high
+    ones are zeros, which the shuffle compresses), and their counts in as few bytes as they need."""
+    bounds = (np.arange(1, parts, dtype=object) * 2 ** 64 // parts).astype(np.uint64)
+    at = np.r_[0, np.searchsorted(keys, bounds), len(keys)]
+    used = np.flatnonzero(np.diff(at))
+    out = []
+    for p in used.tolist():
+        k, c = keys[at[p]:at[p + 1]], n[at[p]:at[p + 1]]
+        far = np.diff(k, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+        out.append((far.T.tobytes(), c.astype(np.min_scalar_type(int(c.max()))).tobytes()))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in zip(*out))], names=["part", "keys", "counts"])
+
+
+def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = len(keys) // 8
+    far = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(8, size).T).view("<u8").ravel()
+    width = len(counts) // size
+    return np.cumsum(far, dtype=np.uint64), np.frombuffer(counts, f"<u{width}").astype(np.int64)
 
 
 def _filter(spark: SparkSession, keys: DataFrame, n_words: int):
@@ -305,33 +340,79 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample: int =
     wanted = _filter(spark, frequent, _size(frequent.count()))
 
     def name(batches):
+        known, held, totals = Filter(wanted.value), _Held(), {}
         for block in _loaded(batches):
-            known, langs = Filter(wanted.value), block.langs
-            out = [(x, 0, "", int(n)) for x, n in zip(langs, np.bincount(block.lang, minlength=len(langs))) if n]
+            for x, n in zip(block.langs, np.bincount(block.lang, minlength=len(block.langs)).tolist()):
+                totals[x] = totals.get(x, 0) + n
             for m in range(1, LONGEST + 1):
                 keys, whole = block.keys(m)
                 at = np.flatnonzero(whole)
                 at = at[known.has(keys[at])]
                 if not len(at):
                     break
-                _, first, group = np.unique(keys[at], return_index=True, return_inverse=True)
-                own, head = at, at[first][group]
-                same = block.lang[own] == block.lang[head]
-                for j in range(m):
-                    same &= block.codes[own + j] == block.codes[head + j]
-                counts = np.bincount(group[same], minlength=len(first))
-                heads, odd = at[first], own[~same]  # keys that collide are phrases of their own
-                out += [(langs[x], m, p, int(n)) for x, p, n in zip(block.lang[heads].tolist(), block.phrases(heads, m), counts.tolist())]
-                out += [(langs[x], m, p, 1) for x, p in zip(block.lang[odd].tolist(), block.phrases(odd, m))]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.int32(), pa.string(), pa.int64()))],
-                                                 names=["lang", "m", "phrase", "f"])
+                odd = held.add(block, m, at, keys[at], block.second(m)[at])
+                if len(odd):  # phrases whose keys collide are counted one by one
+                    yield _named([block.langs[x] for x in block.lang[odd].tolist()], [m] * len(odd), block.phrases(odd, m), [1] * len(odd))
+            if len(held.keys) > HELD_PHRASES:
+                yield from held.rows()
+                held = _Held()
+        yield from held.rows()
+        yield _named(list(totals), [0] * len(totals), [""] * len(totals), list(totals.values()))
 
     named = texts.mapInArrow(name, "lang string, m int, phrase string, f long").groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f"))
     named = materialise(named.where((F.col("f") >= min_count) | (F.col("m") == 0)), "phrase-named")
     return named.where("m > 0"), named.where("m = 0").select("lang", F.col("f").alias("n"))
 
 
+def _named(langs, lengths, phrases, counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(lengths, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
+                                      names=["lang", "m", "phrase", "f"])
+
+
+class _Held:
+    """Counts of a task by key, in key order, each with a second hash, its language and its text."""
+
+    def __init__(self):
+        self.keys, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.n, self.lang, self.text = (np.zeros(0, np.int64) for _ in range(3))
+        self.langs: dict[str, int] = {}
+        self.texts: list[pa.Array] = []
+        self.n_texts = 0
+
+    def add(self, block: Block, m: int, at: np.ndarray, keys: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Counts phrases of a block at places ``at``; gives back the places whose key another phrase has."""
+        found, first, group = np.unique(keys, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, found)
+        inside = place < len(self.keys)
+        old = np.zeros(len(found), bool)
+        old[inside] = self.keys[place[inside]] == found[inside]
+        own = second[first]
+        own[old] = self.second[place[old]]
+        same = second == own[group]
+        counts = np.bincount(group[same], minlength=len(found))
+        self.n[place[old]] += counts[old]
+        new = np.flatnonzero(~old)
+        if len(new):
+            heads = at[first[new]]
+            code = np.array([self.langs.setdefault(x, len(self.langs)) for x in block.langs], np.int64)
+            self.texts.append(pa.array(block.phrases(heads, m), pa.large_string()))
+            keys_ = np.append(self.keys, found[new])
+            order = np.argsort(keys_, kind="stable")
+            self.keys = keys_[order]
+            for name, more in (("second", own[new]), ("n", counts[new]), ("lang", code[block.lang[heads]]), ("text", self.n_texts + np.arange(len(new)))):
+                setattr(self, name, np.append(getattr(self, name), more)[order])
+            self.n_texts += len(new)
+        return at[~same]
+
+    def rows(self):
+        texts = pa.chunked_array(self.texts, pa.large_string()).combine_chunks() if self.texts else pa.array([], pa.large_string())
+        names = pa.array(list(self.langs), pa.string())
+        for at in range(0, len(self.keys), 20_000):
+            some = slice(at, at + 20_000)
+            yield _named(names.take(pa.array(self.lang[some])), (self.keys[some] & np.uint64(7)).astype(np.int32),
+                         texts.take(pa.array(self.text[some])).cast(pa.string()), self.n[some])
+
+
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, sample: int = SAMPLE, id_col: str = "doc_id",
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score.

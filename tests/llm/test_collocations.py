@@ -58,6 +58,7 @@ def test_matches_plain_counting(spark, documents, monkeypatch):
     assert {r[0] for r in want} == {"en", "fr", "und"}
     monkeypatch.setattr(C, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(C, "HELD_KEYS", 500)
+    monkeypatch.setattr(C, "HELD_PHRASES", 40)
     for sample in (1, 16, 10_000):  # a whole, a usual and (nearly) no sample: border failures
         got = C.collocations(docs, 20, 30, sample)
         assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -108,3 +109,26 @@ def test_sql_twin(spark, sf_small):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{Path(sf_small) / 'documents.parquet'}')")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.SQL['op13_collocations']})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_packed_counts():
+    own = np.random.default_rng(4)
+    keys = np.unique(own.integers(0, 2 ** 64, 5000, dtype=np.uint64))
+    keys = np.r_[np.uint64(0), keys, np.uint64(2 ** 64 - 1)]
+    for most in (3, 300, 2 ** 33):
+        n = own.integers(1, most, len(keys))
+        for parts in (1, 7, 48):
+            got = [C._unpacked(k, c) for b in C._packed(keys, n, parts) for k, c in zip(b.column("keys").to_pylist(), b.column("counts").to_pylist())]
+            assert (np.concatenate([k for k, _ in got]) == keys).all() and (np.concatenate([c for _, c in got]) == n).all()
+    assert list(C._packed(keys[:0], n[:0], 4)) == []
+
+
+
+def test_colliding_keys_are_counted_apart():
+    block = C.Block.of_texts(pa.array(["a b c a b d a"]), pa.array(["en"]))
+    keys = np.zeros(len(block.codes), np.uint64) | np.uint64(1)  # all words collide
+    held, at = C._Held(), np.arange(len(keys))
+    odd = held.add(block, 1, at, keys, block.second(1))
+    assert sorted(block.phrases(odd, 1)) == ["b", "b", "c", "d"] and [tuple(x.as_py() for x in r) for b in held.rows() for r in zip(*b.columns)] == [("en", 1, "a", 3)]
+    again = held.add(block, 1, at, keys, block.second(1))
+    assert sorted(block.phrases(again, 1)) == ["b", "b", "c", "d"] and held.n.tolist() == [6]
