@@ -49,6 +49,9 @@ BLOCK_DOCS = 512
 BLOCK_GRAMS = 4_000_000
 #: Representatives sent to all executors instead of a shuffle of the texts, at most.
 BROADCAST_ROWS = 500_000
+#: Routes handled at once in a task that packs them, and sent to one range of the hash.
+SLICE_ROUTES = 4_000_000
+ROUTES_A_BUCKET = 500_000
 MU = 0.5
 
 _ODD = np.random.default_rng(11).integers(1, 2 ** 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -222,8 +225,7 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
             F.min(F.struct("doc_id", "text_hash")).alias("rep")), "ngram-classes")
 
     # routing groups: the first class of each routing hash is the hub of the others
-    routed = described.where("cls is not null").select("cls", F.explode("routes").alias("route"))
-    groups = components(_stars(routed), "ngram-groups")
+    groups = components(_stars(described.where("cls is not null and routes is not null").select("cls", "routes")), "ngram-groups")
 
     members = groups.join(classes, F.col("node") == F.col("cls")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
     loads = members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
@@ -291,15 +293,84 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_key"), "component_key", "text_hash")
 
 
-def _stars(routed: DataFrame) -> DataFrame:
+def _class_words(classes: pa.Array) -> np.ndarray:
+    """The 16-byte class keys as two numbers each, whose order is that of the bytes."""
+    joined = b"".join(classes.to_pylist())
+    return np.frombuffer(joined, ">u8").reshape(-1, 2).astype(np.uint64)
+
+
+def _first_of_route(routes: np.ndarray, owners: np.ndarray, words: np.ndarray):
+    """(routes, smallest owner of each, edges): routes once each in ascending order, and the distinct
+    (class, smallest class) pairs of the routes that several classes have."""
+    names, rank = np.unique(words, axis=0, return_inverse=True)  # rank of a class in byte order
+    rank = rank.reshape(-1)[owners]
+    order = np.lexsort((rank, routes))
+    routes, rank = routes[order], rank[order]
+    first = np.r_[True, routes[1:] != routes[:-1]]
+    hub = rank[first][np.cumsum(first) - 1]
+    other = rank != hub
+    pairs = np.unique(np.stack([rank[other], hub[other]], axis=1), axis=0)
+    return routes[first], rank[first], names, pairs
+
+
+def _edge_bytes(names: np.ndarray, pairs: np.ndarray) -> bytes:
+    return names[pairs.ravel()].astype(">u8").tobytes()
+
+
+def _stars(described: DataFrame) -> DataFrame:
     """Edges (a, b) from each class to the first class of each of its routes.
 
-    The first class comes from partial minima and is joined back, so a route of very many rows is
-    no sorted group of one task.
+    ``described`` has a class and its routes a row. Tasks reduce the routes of a slice to one
+    entry each, held by its smallest class, and link the others there; the entries are sent once,
+    packed by ranges of the hash (8 bytes for a route, 17 for a class in a range), and only
+    routes that several classes share come out again. A route of very many rows is one entry a slice.
     """
-    hubs = routed.groupBy(F.col("route").alias("of")).agg(F.min("cls").alias("hub"))
-    stars = routed.join(hubs, F.col("route") == F.col("of")).where("cls <> hub")
-    return stars.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+    total = described.agg(F.sum(F.size("routes").cast("long"))).first()[0] or 0
+    buckets = max(1, -(-total // ROUTES_A_BUCKET))
+
+    def pack(batches):
+        for batch in batches:
+            lens = pc.list_value_length(batch.column("routes")).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, at, base = np.cumsum(lens), 0, 0
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(ends, base + SLICE_ROUTES, side="right")))
+                part = batch.slice(at, stop - at)
+                base, at, counts = int(ends[stop - 1]), stop, lens[at:stop]
+                flat = part.column("routes").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                if not len(flat):
+                    continue
+                routes, owner, names, pairs = _first_of_route(flat, np.repeat(np.arange(len(counts)), counts), _class_words(part.column("cls")))
+                bucket = (routes >> np.uint64(32)).astype(np.int64) * buckets >> 32
+                order = np.lexsort((owner, bucket))  # a class's routes of a bucket side by side
+                routes, owner, bucket = routes[order], owner[order], bucket[order]
+                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+                out = {c: [] for c in ("bucket", "routes", "classes", "counts", "edges")}
+                for k in range(len(cuts) - 1):
+                    lo, hi = cuts[k], cuts[k + 1]
+                    own = owner[lo:hi]
+                    new = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
+                    out["bucket"].append(int(bucket[lo]))
+                    out["routes"].append(routes[lo:hi].tobytes())
+                    out["classes"].append(names[own[new[:-1]]].astype(">u8").tobytes())
+                    out["counts"].append(np.diff(new).astype(np.int32).tobytes())
+                    # the slice's own edges travel along, dealt to its rows
+                    out["edges"].append(_edge_bytes(names, pairs[k::len(cuts) - 1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out["bucket"], pa.int64())]
+                    + [pa.array(out[c], pa.binary()) for c in ("routes", "classes", "counts", "edges")], names=list(out))
+
+    def meet(table: pa.Table) -> pa.Table:
+        routes, words, counts, edges = (b"".join(table.column(c).to_pylist()) for c in ("routes", "classes", "counts", "edges"))
+        counts = np.frombuffer(counts, np.int32)
+        _, _, names, pairs = _first_of_route(np.frombuffer(routes, np.uint64), np.repeat(np.arange(len(counts)), counts),
+                                             np.frombuffer(words, ">u8").reshape(-1, 2).astype(np.uint64))
+        keys = edges + _edge_bytes(names, pairs)
+        ends = pa.Array.from_buffers(pa.binary(16), len(keys) // 16, [None, pa.py_buffer(keys)]).cast(pa.binary())
+        at = np.arange(len(ends) // 2) * 2
+        return pa.table({"a": ends.take(pa.array(at)), "b": ends.take(pa.array(at + 1))})
+
+    packed = described.mapInArrow(pack, "bucket long, routes binary, classes binary, counts binary, edges binary")
+    return packed.groupBy("bucket").applyInArrow(meet, "a binary, b binary").distinct()
 
 
 def keep_one(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] = THRESHOLD,

@@ -180,14 +180,42 @@ def test_linked_sets_share_a_route():
                 assert set(x.tolist()) & set(y.tolist())
 
 
-def test_a_hot_route_is_no_window_group(spark):
-    rows = [(bytes([k % 250, k // 250]), 7) for k in range(2000)] + [(bytes([k, 0]), k % 5) for k in range(200)] + [(b"\x01\x00", 7)] * 50
-    stars = ngram_join._stars(spark.createDataFrame(rows, "cls binary, route long"))
-    hubs = {r: min(c for c, x in rows if x == r) for _, r in rows}
-    got = [(bytes(r.a), bytes(r.b)) for r in stars.collect()]
-    assert sorted(got) == sorted({(c, hubs[r]) for c, r in rows if c != hubs[r]})
-    plan = stars._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_min(cls" in plan
+def test_a_hot_route_is_one_entry_a_slice(spark, monkeypatch):
+    """Edges join the classes of each shared route, and no others; a route of one class alone comes back
+    as nothing."""
+    monkeypatch.setattr(ngram_join, "SLICE_ROUTES", 300)
+    monkeypatch.setattr(ngram_join, "ROUTES_A_BUCKET", 100)
+    own = np.random.default_rng(8)
+
+    def name(k):
+        return int(k).to_bytes(16, "big")
+
+    alone = [(name(10_000 + k), [int(x) for x in own.integers(-2 ** 63, 2 ** 63 - 1, 3)]) for k in range(100)]
+    shared = [(name(k), [7, int(own.integers(-2 ** 63, 2 ** 63 - 1))]) for k in range(2000)] + [(name(1), [7])] * 50
+    pairs = [(name(20_000 + k), [1000 + k // 3, 1000 + k // 3]) for k in range(60)] + [(name(30_000), [])]
+    rows = alone + shared + pairs
+    df = spark.createDataFrame(rows, "cls binary, routes array<long>").repartition(4)
+    edges = [(bytes(r.a), bytes(r.b)) for r in ngram_join._stars(df).collect()]
+    assert len(edges) == len(set(edges)) and all(a > b for a, b in edges)
+
+    def reach(links):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            lo, hi = sorted((find(a), find(b)))
+            root[hi] = lo
+        return {x: find(x) for x in list(root)}
+
+    hubs = {}
+    for c, rs in sorted(rows):
+        for r in rs:
+            hubs.setdefault(r, c)
+    assert reach(edges) == reach([(c, hubs[r]) for c, rs in rows for r in rs if hubs[r] != c])
 
 
 def test_divide_skip_finds_the_links_of_a_block():
