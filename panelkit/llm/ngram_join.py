@@ -45,10 +45,12 @@ from panelkit.llm.components import components
 
 GRAM = 3
 THRESHOLD = (90, 100)
-BLOCK_DOCS = 512
-BLOCK_GRAMS = 4_000_000
+BLOCK_DOCS = 2048
+BLOCK_GRAMS = 2_000_000
 #: Representatives sent to all executors instead of a shuffle of the texts, at most.
 BROADCAST_ROWS = 500_000
+#: Differences from which ranges are hashed by two of three.
+THREES_FROM = 8
 #: Routes handled at once in a task that packs them, and sent to one range of the hash.
 SLICE_ROUTES = 4_000_000
 ROUTES_A_BUCKET = 500_000
@@ -114,22 +116,41 @@ def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD)
             most = np.ceil(factor ** (level + 2))
             # |A ^ B| <= (|A| + |B|) (1 - t) / (1 + t)
             differ = np.floor(2 * most * (den - num) / (den + num) + 1e-9).astype(np.int64)
-            ranges = differ + 1 + differ // (4 if 20 * num >= 17 * den else 2)
+            # many differences: groups of three ranges, of which one has at most one difference
+            threes = differ >= THREES_FROM
+            groups = differ // 2 + 2 + differ // 16
+            ranges = np.where(threes, 3 * groups, differ + 1 + differ // (4 if 20 * num >= 17 * den else 2))
             who = np.repeat(np.arange(len(owners)), lens)
             if seed:
                 flat = mix64(flat ^ _ODD[30 + seed % 30])
                 flat = flat[np.lexsort((flat, who))]
             part = ((flat >> np.uint64(32)) * ranges[who].astype(np.uint64)) >> np.uint64(32)
             new = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (who[1:] != who[:-1])])
+            base = starts_of(ranges)
+            cell = base[who[new]] + part[new].astype(np.int64)
+            filled, sums = np.zeros(base[-1], bool), np.zeros(base[-1], np.uint64)
+            filled[cell], sums[cell] = True, np.add.reduceat(mix64(flat), new)
             with np.errstate(over="ignore"):
-                sums = np.add.reduceat(mix64(flat), new)
-                tag = (level[who[new]].astype(np.uint64) * _ODD[0] + part[new] * _ODD[1] + np.uint64(seed) * _ODD[2]
-                       + ranges[who[new]].astype(np.uint64) * _ODD[3])
-                keys = mix64(sums + tag).astype(np.int64)
-            full = np.bincount(who[new], minlength=len(owners))
-            at = starts_of(full)
+                tags = (level.astype(np.uint64) * _ODD[0] + np.uint64(seed) * _ODD[2] + ranges.astype(np.uint64) * _ODD[3])
+                one = np.flatnonzero(filled & ~np.repeat(threes, ranges))
+                at = np.repeat(np.arange(len(owners)), ranges)
+                keys, of = [sums[one] + tags[at[one]] + (one - base[at[one]]).astype(np.uint64) * _ODD[1]], [at[one]]
+                first = gather(base[:-1][threes], groups[threes] * 3)[::3]
+                for x, y in ((0, 1), (0, 2), (1, 2)):
+                    some = first[filled[first + x] | filled[first + y]]
+                    place = (3 * (some - base[at[some]]) + x + y).astype(np.uint64)
+                    keys.append(sums[some + x] + sums[some + y] + tags[at[some]] + place * _ODD[1] + _ODD[4])
+                    of.append(at[some])
+                keys, of = mix64(np.concatenate(keys)).astype(np.int64), np.concatenate(of)
+            order = np.argsort(of, kind="stable")
+            keys, cut = keys[order], starts_of(np.bincount(of, minlength=len(owners)))
             for k, d in enumerate(owners.tolist()):
-                out[d].append(keys[at[k]:at[k + 1]])
+                out[d].append(keys[cut[k]:cut[k + 1]])
+            # enough: more ranges with elements than differences, or more groups with elements in two
+            # ranges than can have two differences
+            full = np.bincount(who[new], minlength=len(owners))
+            good = filled[first].astype(int) + filled[first + 1] + filled[first + 2] >= 2
+            full = np.where(threes, 2 * np.bincount(at[first[good]], minlength=len(owners)) - 1, full)
             pending = [pending[k] for k in np.flatnonzero(full <= differ)]
             seed += 1
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
