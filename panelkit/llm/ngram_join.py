@@ -52,7 +52,7 @@ BROADCAST_ROWS = 500_000
 #: Differences from which ranges are hashed by two of three.
 THREES_FROM = 8
 #: Routes handled at once in a task that packs them, and sent to one range of the hash.
-SLICE_ROUTES = 4_000_000
+SLICE_ROUTES = 500_000
 ROUTES_A_BUCKET = 500_000
 MU = 0.5
 
@@ -117,8 +117,8 @@ def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD)
             # |A ^ B| <= (|A| + |B|) (1 - t) / (1 + t)
             differ = np.floor(2 * most * (den - num) / (den + num) + 1e-9).astype(np.int64)
             # many differences: groups of three ranges, of which one has at most one difference
-            threes = differ >= THREES_FROM
-            groups = differ // 2 + 2 + differ // 16
+            threes = (differ >= THREES_FROM) & (5 * num >= 4 * den)  # below 0.8 too few elements for the ranges
+            groups = differ // 2 + 2 + differ // 8
             ranges = np.where(threes, 3 * groups, differ + 1 + differ // (4 if 20 * num >= 17 * den else 2))
             who = np.repeat(np.arange(len(owners)), lens)
             if seed:
