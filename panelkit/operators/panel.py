@@ -23,6 +23,19 @@ def client_window(id_col: str = "id", order_col: str = "fetch_date"):
     return Window.partitionBy(id_col).orderBy(order_col)
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("id", "fetch_date")) -> DataFrame:
+    """Keys that several rows have, with their number (``n``); NULL is a key of its own. Partial
+    counts first, so a key of very many rows is one row per task in the shuffle."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def check_keys(df: DataFrame, keys: Sequence[str] = ("id", "fetch_date")) -> None:
+    """Raise ValueError when a key repeats; labels need one row per client and period."""
+    some = duplicate_keys(df, keys).limit(5).collect()  # five examples for the message
+    if some:
+        raise ValueError("repeated keys, such as " + ", ".join(str(tuple(r[k] for k in keys)) + f" x {r['n']}" for r in some))
+
+
 def lead_products(df: DataFrame, products: Sequence[str], suffix: str = "_next",
                   id_col: str = "id", order_col: str = "fetch_date") -> DataFrame:
     """Next row's value of every product column."""

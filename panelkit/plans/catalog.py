@@ -40,4 +40,4 @@ def r6(c) -> Column:
 def load_all() -> None:
     """Import every query module so its entries register."""
     from . import (q_sources, q_filters, q_joins, q_aggs, q_windows, q_ranking,  # noqa: F401
-                   q_scalars, q_features, q_model, q_metrics, q_streaming, q_wide)
+                   q_scalars, q_features, q_model, q_metrics, q_streaming, q_wide, q_loads)
