@@ -43,10 +43,10 @@ def read_csv_split(spark: SparkSession, path: str, schema: T.StructType, date_fo
     # the columns' own text, with the parser's word on the number of fields
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(_BAD, T.StringType())])
     again = F.from_csv(F.col("record"), texts.simpleString()[7:-1].replace(":", " "), {"columnNameOfCorruptRecord": _BAD, **_CSV_TEXT})
-    # Spark refuses a scan that needs the record's text alone (as a count would), so the test names a column
-    # too: the second part is always NULL
-    first = F.col(f"`{schema.fieldNames()[0]}`")
-    is_bad = F.greatest(F.length(_BAD), F.when(first != first, F.lit(0))).isNotNull()
+    # Spark refuses a scan of the record's text alone and checks only the cells that a query reads, so the
+    # test names every column: all its parts but the first are NULL
+    every = [F.when(F.col(f"`{c}`") != F.col(f"`{c}`"), F.lit(0)) for c in schema.fieldNames()]
+    is_bad = F.greatest(F.length(_BAD), *every).isNotNull()
     bad = read.where(is_bad).withColumn("record", F.col(_BAD)).withColumn("_t", again)
     # a cell with a text that the parser left NULL does not fit its type
     misfits = [F.when(F.col(f"_t.`{f.name}`").isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields]
