@@ -51,9 +51,8 @@ BLOCK_GRAMS = 2_000_000
 BROADCAST_ROWS = 500_000
 #: Differences from which ranges are hashed by two of three.
 THREES_FROM = 8
-#: Routes handled at once in a task that packs them, and sent to one range of the hash.
-SLICE_ROUTES = 500_000
-ROUTES_A_BUCKET = 500_000
+#: Grams whose routes go to one range of the hash.
+ROUTES_A_BUCKET = 2_000_000
 MU = 0.5
 
 _ODD = np.random.default_rng(11).integers(1, 2 ** 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -225,30 +224,34 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
             for part in slices(batch, "text"):
                 sets = gram_sets(part.column("text"), gram)
                 keys = class_keys(sets)
-                first: dict[bytes, int] = {}
-                for k, key in enumerate(keys):
-                    first.setdefault(key, k)
-                at = sorted(first.values())  # copies inside a slice route once
-                routes: list = [None] * len(sets)
-                for k, r in zip(at, route_hashes([sets[k] for k in at], threshold)):
-                    routes[k] = r
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "cls": pa.array([key if len(s) else None for key, s in zip(keys, sets)], pa.binary()),
-                    "routes": pa.array(routes, pa.list_(pa.int64()))})
+                    "node": nodes_of(keys), "cls": pa.array([key if len(s) else None for key, s in zip(keys, sets)], pa.binary())})
 
     described = materialise(rows.mapInArrow(
-        describe, "doc_id long, text_hash long, n long, cls binary, routes array<long>"), "ngram-described")
+        describe, "doc_id long, text_hash long, n long, node long, cls binary"), "ngram-described")
     classes = materialise(
         described.where("cls is not null").groupBy("cls").agg(
-            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
+            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("node").alias("of_node"),
             F.min(F.struct("doc_id", "text_hash")).alias("rep")), "ngram-classes")
 
-    # routing groups: the first class of each routing hash is the hub of the others
-    groups = components(_stars(described.where("cls is not null and routes is not null").select("cls", "routes")), "ngram-groups")
+    # routing groups: the first node of each routing hash is the hub of the others. Routes are made where they
+    # are packed; to keep them beside the documents would take more room than the texts
+    total = described.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, -(-total // ROUTES_A_BUCKET))
+
+    def route(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = gram_sets(part.column("text"), gram)
+                first = {key: k for k, key in enumerate(class_keys(sets)) if len(sets[k])}  # copies in a slice route once
+                if first:
+                    yield pack_routes(route_hashes([sets[k] for k in first.values()], threshold), nodes_of(list(first)), buckets)
+
+    groups = components(_stars(rows.mapInArrow(route, PACKED)), "ngram-groups")
 
-    members = groups.join(classes, F.col("node") == F.col("cls")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
+    members = groups.join(classes, F.col("node") == F.col("of_node")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
     loads = members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
     loads = loads.withColumn("blocks", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int"))
     members = members.join(loads.select(F.col("grp").alias("of"), "blocks"), F.col("grp") == F.col("of")).drop("of")
@@ -269,7 +272,7 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                     [part.column(c) for c in ("cls", "grp", "copies", "block", "blocks")]
                     + [pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "grp", "copies", "block", "blocks", "grams"])
 
-    blocks = texts.mapInArrow(sets_of, "cls binary, grp binary, copies long, block int, blocks int, grams binary")
+    blocks = texts.mapInArrow(sets_of, "cls binary, grp long, copies long, block int, blocks int, grams binary")
     blocks = blocks.withColumn("pair", F.explode(both)).select("cls", "grp", "copies", "block", "pair.i", "pair.j", "grams")
 
     def search(table: pa.Table) -> pa.Table:
@@ -314,84 +317,69 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("class_key"), "component_key", "text_hash")
 
 
-def _class_words(classes: pa.Array) -> np.ndarray:
-    """The 16-byte class keys as two numbers each, whose order is that of the bytes."""
-    joined = b"".join(classes.to_pylist())
-    return np.frombuffer(joined, ">u8").reshape(-1, 2).astype(np.uint64)
-
-
-def _first_of_route(routes: np.ndarray, owners: np.ndarray, words: np.ndarray):
-    """(routes, smallest owner of each, edges): routes once each in ascending order, and the distinct
-    (class, smallest class) pairs of the routes that several classes have."""
-    names, rank = np.unique(words, axis=0, return_inverse=True)  # rank of a class in byte order
-    rank = rank.reshape(-1)[owners]
-    order = np.lexsort((rank, routes))
-    routes, rank = routes[order], rank[order]
-    first = np.r_[True, routes[1:] != routes[:-1]]
-    hub = rank[first][np.cumsum(first) - 1]
-    other = rank != hub
-    pairs = np.unique(np.stack([rank[other], hub[other]], axis=1), axis=0)
-    return routes[first], rank[first], names, pairs
-
+#: Columns of packed routes.
+PACKED = "bucket long, routes binary, nodes binary, counts binary, edges binary"
 
-def _edge_bytes(names: np.ndarray, pairs: np.ndarray) -> bytes:
-    return names[pairs.ravel()].astype(">u8").tobytes()
 
+def nodes_of(keys: list[bytes]) -> np.ndarray:
+    """The first 8 bytes of class keys. Classes of one node share a routing group, no more."""
+    return np.frombuffer(b"".join(keys), ">i8").reshape(-1, 2)[:, 0].astype(np.int64)
 
-def _stars(described: DataFrame) -> DataFrame:
-    """Edges (a, b) from each class to the first class of each of its routes.
 
-    ``described`` has a class and its routes a row. Tasks reduce the routes of a slice to one
-    entry each, held by its smallest class, and link the others there; the entries are sent once,
-    packed by ranges of the hash (8 bytes for a route, 17 for a class in a range), and only
-    routes that several classes share come out again. A route of very many rows is one entry a slice.
+def _first_of_route(routes: np.ndarray, nodes: np.ndarray):
+    """(routes once each in ascending order, smallest node of each, distinct (node, smallest node) pairs of the
+    routes that several nodes have)."""
+    order = np.lexsort((nodes, routes))
+    routes, nodes = routes[order], nodes[order]
+    first = np.r_[True, routes[1:] != routes[:-1]]
+    hub = nodes[first][np.cumsum(first) - 1]
+    other = nodes != hub
+    return routes[first], nodes[first], np.unique(np.stack([nodes[other], hub[other]], axis=1), axis=0)
+
+
+def pack_routes(routes: list[np.ndarray], nodes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The routes of a slice by range of the hash. Each route goes on once, held by its smallest node,
+    as its low 5 bytes (equal low bytes in a range only make groups larger); the slice's own
+    edges travel along."""
+    flat = np.concatenate(routes).view(np.uint64)
+    flat, owner, pairs = _first_of_route(flat, np.repeat(nodes, [len(r) for r in routes]))
+    bucket = (flat >> np.uint64(32)).astype(np.int64) * buckets >> 32
+    order = np.lexsort((owner, bucket))  # a node's routes of a bucket side by side
+    flat, owner, bucket = flat[order], owner[order], bucket[order]
+    low = flat.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].copy()
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    runs = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1]), True])
+    lens = np.diff(runs)
+    pieces = -(-lens // 255)  # a run's length in bytes of its own
+    counts = np.full(int(pieces.sum()), 255, np.uint8)
+    counts[np.cumsum(pieces) - 1] = lens - 255 * (pieces - 1)
+    held = np.repeat(owner[runs[:-1]], pieces)
+    at = np.r_[0, np.cumsum(pieces)][np.searchsorted(runs, cuts)]
+    n = len(cuts) - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[cuts[:-1]]),
+         pa.array([low[cuts[k]:cuts[k + 1]].tobytes() for k in range(n)], pa.binary()),
+         pa.array([held[at[k]:at[k + 1]].tobytes() for k in range(n)], pa.binary()),
+         pa.array([counts[at[k]:at[k + 1]].tobytes() for k in range(n)], pa.binary()),
+         pa.array([pairs[k::n].tobytes() for k in range(n)], pa.binary())],
+        names=["bucket", "routes", "nodes", "counts", "edges"])
+
+
+def _stars(packed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the nodes of each shared route; routes of one node give none.
+
+    A range holds some ``ROUTES_A_BUCKET`` routes at any size of the input, and a route of very
+    many rows is one entry of each slice that has it.
     """
-    total = described.agg(F.sum(F.size("routes").cast("long"))).first()[0] or 0
-    buckets = max(1, -(-total // ROUTES_A_BUCKET))
-
-    def pack(batches):
-        for batch in batches:
-            lens = pc.list_value_length(batch.column("routes")).to_numpy(zero_copy_only=False).astype(np.int64)
-            ends, at, base = np.cumsum(lens), 0, 0
-            while at < batch.num_rows:
-                stop = max(at + 1, int(np.searchsorted(ends, base + SLICE_ROUTES, side="right")))
-                part = batch.slice(at, stop - at)
-                base, at, counts = int(ends[stop - 1]), stop, lens[at:stop]
-                flat = part.column("routes").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                if not len(flat):
-                    continue
-                routes, owner, names, pairs = _first_of_route(flat, np.repeat(np.arange(len(counts)), counts), _class_words(part.column("cls")))
-                bucket = (routes >> np.uint64(32)).astype(np.int64) * buckets >> 32
-                order = np.lexsort((owner, bucket))  # a class's routes of a bucket side by side
-                routes, owner, bucket = routes[order], owner[order], bucket[order]
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-                out = {c: [] for c in ("bucket", "routes", "classes", "counts", "edges")}
-                for k in range(len(cuts) - 1):
-                    lo, hi = cuts[k], cuts[k + 1]
-                    own = owner[lo:hi]
-                    new = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
-                    out["bucket"].append(int(bucket[lo]))
-                    out["routes"].append(routes[lo:hi].tobytes())
-                    out["classes"].append(names[own[new[:-1]]].astype(">u8").tobytes())
-                    out["counts"].append(np.diff(new).astype(np.int32).tobytes())
-                    # the slice's own edges travel along, dealt to its rows
-                    out["edges"].append(_edge_bytes(names, pairs[k::len(cuts) - 1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["bucket"], pa.int64())]
-                    + [pa.array(out[c], pa.binary()) for c in ("routes", "classes", "counts", "edges")], names=list(out))
-
     def meet(table: pa.Table) -> pa.Table:
-        routes, words, counts, edges = (b"".join(table.column(c).to_pylist()) for c in ("routes", "classes", "counts", "edges"))
-        counts = np.frombuffer(counts, np.int32)
-        _, _, names, pairs = _first_of_route(np.frombuffer(routes, np.uint64), np.repeat(np.arange(len(counts)), counts),
-                                             np.frombuffer(words, ">u8").reshape(-1, 2).astype(np.uint64))
-        keys = edges + _edge_bytes(names, pairs)
-        ends = pa.Array.from_buffers(pa.binary(16), len(keys) // 16, [None, pa.py_buffer(keys)]).cast(pa.binary())
-        at = np.arange(len(ends) // 2) * 2
-        return pa.table({"a": ends.take(pa.array(at)), "b": ends.take(pa.array(at + 1))})
-
-    packed = described.mapInArrow(pack, "bucket long, routes binary, classes binary, counts binary, edges binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "a binary, b binary").distinct()
+        routes, nodes, counts, edges = (b"".join(table.column(c).to_pylist()) for c in ("routes", "nodes", "counts", "edges"))
+        low = np.zeros((len(routes) // 5, 8), np.uint8)
+        low[:, :5] = np.frombuffer(routes, np.uint8).reshape(-1, 5)
+        _, _, pairs = _first_of_route(low.view("<u8").ravel(), np.repeat(np.frombuffer(nodes, np.int64), np.frombuffer(counts, np.uint8)))
+        both = np.concatenate([np.frombuffer(edges, np.int64).reshape(-1, 2), pairs])
+        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+    return packed.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
 def keep_one(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] = THRESHOLD,

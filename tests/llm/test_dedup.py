@@ -180,22 +180,26 @@ def test_linked_sets_share_a_route():
                 assert set(x.tolist()) & set(y.tolist())
 
 
-def test_a_hot_route_is_one_entry_a_slice(spark, monkeypatch):
+def test_a_hot_route_is_one_entry_a_slice(spark):
     """Edges join the classes of each shared route, and no others; a route of one class alone comes back
     as nothing."""
-    monkeypatch.setattr(ngram_join, "SLICE_ROUTES", 300)
-    monkeypatch.setattr(ngram_join, "ROUTES_A_BUCKET", 100)
     own = np.random.default_rng(8)
-
-    def name(k):
-        return int(k).to_bytes(16, "big")
+    name = int
 
     alone = [(name(10_000 + k), [int(x) for x in own.integers(-2 ** 63, 2 ** 63 - 1, 3)]) for k in range(100)]
     shared = [(name(k), [7, int(own.integers(-2 ** 63, 2 ** 63 - 1))]) for k in range(2000)] + [(name(1), [7])] * 50
     pairs = [(name(20_000 + k), [1000 + k // 3, 1000 + k // 3]) for k in range(60)] + [(name(30_000), [])]
     rows = alone + shared + pairs
-    df = spark.createDataFrame(rows, "cls binary, routes array<long>").repartition(4)
-    edges = [(bytes(r.a), bytes(r.b)) for r in ngram_join._stars(df).collect()]
+    df = spark.createDataFrame(rows + [(name(40_000 + k % 2), list(range(5000, 6000))) for k in range(3)], "node long, routes array<long>")
+    rows += [(name(40_000), list(range(5000, 6000))), (name(40_001), list(range(5000, 6000)))]
+
+    def pack(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 300):
+                part = batch.slice(at, 300).to_pylist()
+                yield ngram_join.pack_routes([np.array(r["routes"], np.int64) for r in part], np.array([r["node"] for r in part]), 40)
+
+    edges = [(r.a, r.b) for r in ngram_join._stars(df.repartition(4).mapInArrow(pack, ngram_join.PACKED)).collect()]
     assert len(edges) == len(set(edges)) and all(a > b for a, b in edges)
 
     def reach(links):
