@@ -14,9 +14,9 @@ rows are indexed. Distances in a sample are larger than in the table, so the est
 to more probes.
 
 Scale: a row is shuffled once per table. Cells with more than ``MAX_CELL`` rows are split
-into parts of that size, and a probe visits all parts. The queries that visit a cell, or that
-visit all rows, are dealt to blocks of about ``MAX_ASKED``, so each task holds one part and one
-block; nothing is capped.
+into parts of that size, and a probe visits all parts, each in its own round. The queries that
+visit a part, or that visit all rows, are dealt to blocks of about ``MAX_ASKED``, so each task
+holds one part and one block; nothing is capped.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do
 those of another length than most; of rows that repeat a query's id, the smallest vector asks,
@@ -42,6 +42,8 @@ SAMPLE = 4096
 CELL_ROWS = 128
 MAX_CELL = 2048
 MAX_ASKED = 1024
+START_ROWS = 1024
+GROWTH = 16
 WIDTH = 1.8
 
 
@@ -71,26 +73,27 @@ class PStableTables:
                 out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + cells[..., k].astype(np.uint64))
         return out.astype(np.int64)
 
-    def probes(self, inside: np.ndarray) -> np.ndarray:
-        """Moves of one table in order of their estimated success, up to the wanted sum."""
+    def probes(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Moves of one table and their estimated success, best first, up to the wanted sum."""
         options = []
         for x in inside.tolist():
             edge = [0.5 * math.erf((d - x) * self.width / (self.radius * math.sqrt(2.0))) for d in range(-3, 5)]
             options.append(sorted(((edge[k + 1] - edge[k], k - 3) for k in range(7)), reverse=True))
         first = (0,) * len(options)
         heap = [(-math.prod(o[0][0] for o in options), first)]
-        seen, total, out = {first}, 0.0, []
+        seen, total, out, success = {first}, 0.0, [], []
         while heap and total < self.per_table:
             p, at = heapq.heappop(heap)
             total -= p
             out.append([options[k][j][1] for k, j in enumerate(at)])
+            success.append(-p)
             for k, j in enumerate(at):
                 if j < 6 and options[k][j + 1][0] > 1e-9:
                     to = at[:k] + (j + 1,) + at[k + 1:]
                     if to not in seen:
                         seen.add(to)
                         heapq.heappush(heap, (p / options[k][j][0] * options[k][j + 1][0], to))
-        return np.array(out, np.int64)
+        return np.array(out, np.int64), np.array(success)
 
 
 def nearest_in(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
@@ -169,25 +172,39 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
             cells, inside = tables.places(x)
             for q in range(len(x)):
                 for t in range(n_tables):
-                    keys = np.unique(tables.keys(cells[q, t] + tables.probes(inside[q, t])))
+                    moves, success = tables.probes(inside[q, t])
+                    keys, first = np.unique(tables.keys(cells[q, t] + moves), return_index=True)
                     yield pa.RecordBatch.from_pydict({
-                        "t": pa.array([t] * len(keys), pa.int32()), "cell": keys,
+                        "t": pa.array([t] * len(keys), pa.int32()), "cell": keys, "success": success[first],
                         "query_id": pa.array([batch.column("vec_id")[q].as_py()] * len(keys), pa.int64())})
 
     sizes = indexed.groupBy("t", "cell").count().withColumn("parts", F.ceil(F.col("count") / MAX_CELL).cast("int"))
     sizes = materialise(sizes, "ann-cells")
-    visits = asking.mapInArrow(probe, "t int, cell long, query_id long").join(sizes, ["t", "cell"])
-    visits = materialise(visits.select("t", "cell", "parts", "query_id"), "ann-visits")
-    # cells that no query visits are not needed
-    cells = visits.groupBy("t", "cell", "parts").count()
-    cells = materialise(cells.select("t", "cell", "parts", F.ceil(F.col("count") / MAX_ASKED).cast("int").alias("blocks")), "ann-visited")
-    stored = indexed.join(cells, ["t", "cell"])
-    stored = stored.select("t", "cell", _dealt("vec_id", F.col("parts")).alias("part"), _all("blocks").alias("block"), "vec_id", "v")
-    visits = visits.join(cells.drop("parts"), ["t", "cell"])
-    visits = visits.select("t", "cell", _all("parts").alias("part"), _dealt("query_id", F.col("blocks")).alias("block"), "query_id")
+    placed = indexed.join(sizes.drop("count"), ["t", "cell"])
+    placed = materialise(placed.select("t", "cell", _dealt("vec_id", F.col("parts")).alias("part"), "vec_id", "v"), "ann-placed")
+    visits = asking.mapInArrow(probe, "t int, cell long, success double, query_id long").join(sizes, ["t", "cell"])
+    visits = visits.withColumn("part", _all("parts")).withColumn("rows", F.col("count") / F.col("parts"))
+    # rows that the more probable visits of the query have seen
+    before = Window.partitionBy("query_id").orderBy(F.desc("success"), "t", "cell", "part").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("rows").over(before), F.lit(0.0)) / START_ROWS
+    step = F.when(seen < 1, 0).otherwise(1 + F.floor(F.log(seen) / math.log(GROWTH))).cast("int")
+    visits = materialise(visits.select("t", "cell", "part", "query_id", step.alias("round")), "ann-visits")
     asked = asking.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    found = _ranked(stored, visits.join(asked, "query_id"), ["t", "cell", "part", "block"], k)
-    found = materialise(_merge(found, k), "ann-found")
+    found = spark.createDataFrame([], empty)
+    key = ["t", "cell", "part", "block"]
+    # a handful of rounds: the logarithm of the rows visited
+    for step in sorted(r["round"] for r in visits.select("round").distinct().collect()):
+        now = visits.where(F.col("round") == step).drop("round")
+        # parts that no query visits are not needed
+        parts = now.groupBy("t", "cell", "part").count()
+        parts = materialise(parts.select("t", "cell", "part", F.ceil(F.col("count") / MAX_ASKED).cast("int").alias("blocks")), "ann-visited")
+        stored = placed.join(parts, ["t", "cell", "part"])
+        stored = stored.select("t", "cell", "part", _all("blocks").alias("block"), "vec_id", "v")
+        now = now.join(parts, ["t", "cell", "part"])
+        now = now.select("t", "cell", "part", _dealt("query_id", F.col("blocks")).alias("block"), "query_id")
+        last = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("edge"), F.col("vec_id").alias("edge_id"))
+        now = now.join(asked.join(last, "query_id", "left"), "query_id")
+        found = materialise(_merge(found.drop("rank").unionByName(_ranked(stored, now, key, k)), k), "ann-found")
 
     # queries with fewer than k found visit all rows, in parts
     few = asked.join(found.groupBy("query_id").count(), "query_id", "left")
@@ -197,7 +214,8 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
         return found
     over = {"parts": F.lit(-(-n_rows // MAX_CELL)), "blocks": F.lit(-(-n_few // MAX_ASKED))}
     stored = rows.withColumns(over).select(_dealt("vec_id", F.col("parts")).alias("part"), _all("blocks").alias("block"), "vec_id", "v")
-    rest = few.withColumns(over).select(_all("parts").alias("part"), _dealt("query_id", F.col("blocks")).alias("block"), "query_id", "q")
+    rest = few.withColumns(over).select(_all("parts").alias("part"), _dealt("query_id", F.col("blocks")).alias("block"), "query_id", "q",
+                                        F.lit(None).cast("double").alias("edge"), F.lit(None).cast("long").alias("edge_id"))
     rest = _merge(_ranked(stored, rest, ["part", "block"], k), k)
     return found.join(few.select("query_id"), "query_id", "left_anti").unionByName(rest)
 
@@ -211,12 +229,17 @@ def _all(n: str):
 
 
 def _ranked(stored: DataFrame, visits: DataFrame, key: list[str], k: int) -> DataFrame:
+    """The k nearest rows of each visit; only those before the row (edge, edge_id) where one is given."""
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         q_at, ids, d = [], [], []
         if left.num_rows and right.num_rows:
             own = left.column("vec_id").to_numpy()
             asks = right.column("query_id").to_numpy()
+            edge = right.column("edge").fill_null(float("inf")).to_numpy()
+            edge_id = right.column("edge_id").fill_null(0).to_numpy()
             for q, at, dist in nearest_in(_matrix(left.column("v")), own, _matrix(right.column("q")), asks, k):
+                better = (dist < edge[q]) | ((dist == edge[q]) & (own[at] < edge_id[q]))
+                at, dist = at[better], dist[better]
                 q_at.append(np.full(len(at), asks[q]))
                 ids.append(own[at])
                 d.append(dist)

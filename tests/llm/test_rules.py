@@ -255,12 +255,40 @@ def test_queries_of_a_cell_are_dealt_to_blocks(spark, monkeypatch):
     for most in (10 ** 6, 64):
         monkeypatch.setattr(ann, "MAX_ASKED", most, raising=False)
         got.append(sorted(ann.search(vectors(spark, rows), F.lit(True), success=0.3).collect()))
-    assert len(groups) == 4  # the cells and the queries with fewer than k found, each time
-    assert max(groups[0][1], groups[1][1]) >= 600
-    assert all(max(sides) <= 128 for sides in groups[2:])
+    half = len(groups) // 2  # the rounds of cells and the queries with fewer than k found, each time
+    assert half >= 2 and len(groups) == 2 * half
+    assert max(sides[1] for sides in groups[:half]) >= 600
+    assert all(max(sides) <= 128 for sides in groups[half:])
     assert got[0] == got[1] and len(got[0]) == 10 * len(rows)
 
 
+def test_rounds_change_no_result_and_give_fewer_rows(spark, monkeypatch):
+    own = np.random.default_rng(6)
+    rows = [(k, own.standard_normal(8).tolist()) for k in range(2000)]
+    rows += [(3000 + k, rows[0][1]) for k in range(700)]  # a hot vector: ties to smaller ids across its parts
+    given, ranked = [], ann._ranked
+
+    def watched(stored, visits, key, k):
+        out = ranked(stored, visits, key, k)
+        given.append(out.count())
+        return out
+
+    monkeypatch.setattr(ann, "_ranked", watched)
+    monkeypatch.setattr(ann, "MAX_CELL", 32)
+    monkeypatch.setattr(ann, "CELL_ROWS", 16)
+    got, rows_given, rounds = [], [], []
+    for start, growth in ((10 ** 9, 16), (64, 4), (16, 2)):
+        monkeypatch.setattr(ann, "START_ROWS", start)
+        monkeypatch.setattr(ann, "GROWTH", growth)
+        given.clear()
+        got.append(sorted(ann.search(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect()))
+        rows_given.append(sum(given))
+        rounds.append(len(given))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 10 * (40 + 14)
+    assert rounds[0] == 1 < rounds[1] < rounds[2]
+    assert 2 * max(rows_given[1:]) < rows_given[0]
+
+
 def test_few_rows_give_all_candidates(spark):
     rows = [(k, [float(k), 1.0]) for k in range(5)]
     got = ann.search(vectors(spark, rows), F.col("vec_id") % 2 == 0).collect()
