@@ -88,9 +88,10 @@ class FittedFeatures:
         names += [f"{c}_freq" for c in self.freq_columns]
         return names + list(self.passthrough)
 
-    def transform(self, df: DataFrame, processed: bool = False,
-                  unknown: str = "ignore") -> DataFrame:
-        """E01 + E02 + E03 + E04 columns (not yet assembled)."""
+    def transform(self, df: DataFrame, processed: bool = False, unknown: str = "ignore",
+                  keep: Sequence[str] | None = None) -> DataFrame:
+        """E01 + E02 + E03 + E04 columns (not yet assembled), behind the columns ``keep``
+        (by default the keys and targets)."""
         p = df if processed else process_frame(df, self.products, self.median_log_income)
         for c in self.freq_columns:
             p = L.apply_frequency(p, self.freq_tables[c], c, 0.0)
@@ -110,7 +111,8 @@ class FittedFeatures:
         cols += [F.col(f"{c}_freq").cast("double").alias(f"{c}_freq") for c in self.freq_columns]
         cols += [F.col(c).cast("double").alias(c) for c in self.passthrough]
         keys = [c for c in ("id", "fetch_date") if c in p.columns]
-        keep = keys + [c for c in p.columns if c.startswith("target__")]
+        if keep is None:
+            keep = keys + [c for c in p.columns if c.startswith("target__")]
         return p.select(*[F.col(k) for k in keep], *cols)
 
     def assemble(self, df: DataFrame, out: str = "features") -> DataFrame:
@@ -118,8 +120,7 @@ class FittedFeatures:
         return VectorAssembler(inputCols=self.feature_names, outputCol=out).transform(df)
 
     # -- persistence (S08) --
-    def save(self, path: str) -> None:
-        spark = next(iter(self.freq_tables.values())).sparkSession
+    def save(self, path: str, spark: SparkSession) -> None:
         meta = {"median_log_income": self.median_log_income, "minmax": self.minmax,
                 "categories": self.categories, "freq_columns": self.freq_columns,
                 "passthrough": self.passthrough, "products": self.products}

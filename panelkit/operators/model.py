@@ -97,7 +97,7 @@ class ProductModel:
 
     def save(self, path: str, spark: SparkSession) -> None:
         """Fitted features, every label model, and the label list."""
-        self.features.save(os.path.join(path, "features"))
+        self.features.save(os.path.join(path, "features"), spark)
         for t in self.targets:
             self.models[t].write().overwrite().save(os.path.join(path, "models", t))
         spark.createDataFrame([(json.dumps({"targets": self.targets}),)], "meta string") \

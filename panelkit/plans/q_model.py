@@ -7,12 +7,14 @@ parameter tables do.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..functions.rows import json_to_rows
 from ..operators import metrics as M
 from ..operators import model as MD
 from ..operators import panel as P
+from ..operators import pipeline as PL
 from ..operators.lookup import name_predictions
 from ..schema import TARGET_PREFIX
 from ..session import scratch_dir
@@ -66,6 +68,14 @@ def _train_sql():
             f"AND ind_deceased = 'N' AND fetch_date >= DATE '{S.ORDER_START_DATE}'")
 
 
+def _test_sql():
+    from .q_aggs import SNAPSHOT_DTYPES
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c, _ in SNAPSHOT_DTYPES)
+    return (f"SELECT * FROM (SELECT *, lead(id) OVER w AS _nid FROM snapshot "
+            f"WINDOW w AS (PARTITION BY id ORDER BY fetch_date)) WHERE _nid IS NOT NULL "
+            f"AND fetch_date > DATE '{S.ORDER_SPLIT_DATE}' AND {nulls} < 10 AND ind_deceased = 'N'")
+
+
 @query("e07_balanced_weights", with_ctes(" UNION ALL ".join(
     f"SELECT '{t}' AS target, round((count(*) - sum({t})) / nullif(sum({t}), 0), 6) AS pos_weight "
     f"FROM ({_train_sql()})" for t in TARGETS), "snapshot"))
@@ -76,7 +86,9 @@ def e07_balanced_weights(spark, sf):
     return w.select("target", r6("pos_weight").alias("pos_weight"))
 
 
-@query("e08_train_job")
+@query("e08_train_job", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS target, count(*) AS n_train, CAST(sum({t}) AS BIGINT) AS n_pos "
+    f"FROM ({_train_sql()}) HAVING count(DISTINCT {t}) > 1" for t in TARGETS), "snapshot"))
 def e08_train_job(spark, sf):
     """E08 + S08: clean, label, split, keep varying labels, fit, save; returns
     per-label train counts of the saved model."""
@@ -145,6 +157,25 @@ def s08_model_roundtrip(spark, sf):
     return s.select("id", "fetch_date", "target", r6("proba").alias("proba"), "yhat")
 
 
+@query("s08_pipeline_roundtrip", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS target, (SELECT count(*) FROM ({_test_sql()})) AS n_rows, 0 AS n_different "
+    f"FROM ({_train_sql()}) HAVING count(DISTINCT {t}) > 1" for t in TARGETS), "snapshot"))
+def s08_pipeline_roundtrip(spark, sf):
+    """S08 + E05: the product model as one ``PipelineModel``, written, loaded, and its scores of the
+    test rows compared with the fitted model's: rows per label, and rows with another score (none)."""
+    model = fitted_model(spark, sf)
+    path = scratch_dir(spark, "pipeline-model")
+    PL.as_pipeline(model).write().save(path)
+    _, test = labelled_split(spark, sf)
+    keys = ["id", "fetch_date", "target"]
+    fitted = model.score(test).select(*keys, "proba", "yhat")
+    loaded = PL.score_pipeline(PipelineModel.load(path), test)
+    both = fitted.join(loaded.select(*keys, F.col("proba").alias("_p"), F.col("yhat").alias("_y")), keys, "full")
+    same = F.col("proba").eqNullSafe(F.col("_p")) & F.col("yhat").eqNullSafe(F.col("_y"))
+    return both.groupBy("target").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.sum((~same).cast("long")).alias("n_different"))
+
+
 def _params_sql():
     t = _train_sql()
     names = " UNION ALL ".join(
