@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import null_count
+from ..session import scratch_dir
 from . import bitmask
+from .lookup import checked_join, map_values
 from .running import exact_quantiles
 
+#: Most values of a column that are looked up in a literal map.
+MAX_LITERAL_CODES = 64
+
 
 def _sum_cols(cols: Sequence[Column]) -> Column:
     out = cols[0]
@@ -405,27 +410,83 @@ def binned_all(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
         {c: code[c].cast("string") for c in cols}).drop("_r")
 
 
+def value_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Dictionary of the columns: (i, place of the column; value as text; code), NULL left out.
+
+    One aggregate over all columns gives the distinct values; the codes are unique numbers
+    without any order, so no value passes the driver.
+    """
+    spark = df.sparkSession
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])).alias("x"))
+    values = values.select("x.*").where(F.col("value").isNotNull()).distinct()
+    path = scratch_dir(spark, "value-codes")
+    values.withColumn("code", F.monotonically_increasing_id()).write.partitionBy("i").parquet(path)
+    return spark.read.schema("value string, code long, i int").parquet(path)
+
+
+def coded(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One column ``codes``: an array with the code of each of ``cols``, NULL for NULL.
+
+    A column of up to ``MAX_LITERAL_CODES`` values is looked up in a literal map, a larger one
+    by ``lookup.checked_join``.
+    """
+    table = value_codes(df, cols)
+    sizes = {r["i"]: r["count"] for r in table.groupBy("i").count().collect()}
+    small = [i for i in range(len(cols)) if sizes.get(i, 0) <= MAX_LITERAL_CODES]
+    literal: dict = {cols[i]: {} for i in small}
+    for r in table.where(F.col("i").isin(small)).collect():
+        literal[cols[r["i"]]][r["value"]] = r["code"]
+    place = {c: f"_{i}" for i, c in enumerate(cols)}
+    out = df.select(*[F.col(c).cast("string").alias(place[c]) for c in cols])
+    for i, c in enumerate(cols):
+        if c not in literal:
+            own = table.where(F.col("i") == i).select(F.col("value").alias(place[c]), F.col("code").alias("_code"))
+            out = checked_join(out, own, place[c]).withColumn(place[c], F.col("_code")).drop("_code")
+    codes = [map_values(place[c], literal[c]) if literal.get(c) else
+             F.lit(None).cast("long") if c in literal else F.col(place[c]) for c in cols]
+    return out.select(F.array(*codes).alias("codes"))
+
+
 def association(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Chi-square and Cramer's V for each feature pair (categorical codes).
 
-    Contingency counts come from one grouped count over an exploded (pair, a, b)
-    form; chi2 = sum(o^2 / e) - n over non-empty cells, which equals the sum
-    over all cells, so empty cells are never built.
+    Values become numbers first (``coded``). Each row then gives its (pair, code, code) cells,
+    which one grouped count adds up in the tasks before the shuffle; the cells are written, as
+    four aggregates read them. chi2 = sum(o^2 / e) - n over non-empty cells, which equals the sum
+    over all cells, so empty cells are never built. A pair in which no row has both values gives
+    no row.
     """
-    rows = df.select(F.explode(F.array(*[
-        F.struct(F.lit(f"{a}|{b}").alias("pair"), F.col(a).cast("string").alias("a"),
-                 F.col(b).cast("string").alias("b")) for a, b in pairs])).alias("_p")
-    ).select("_p.*").where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    spark = df.sparkSession
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    # read twice, for the dictionaries and for the cells
+    path = scratch_dir(spark, "associated")
+    df.select(*[F.col(c).cast("string").alias(c) for c in cols]).write.parquet(path)
+    df = spark.read.schema(", ".join(f"`{c}` string" for c in cols)).parquet(path)
+    place = {c: i for i, c in enumerate(cols)}
+    partners: dict = {}
+    for a, b in dict.fromkeys(pairs):
+        partners.setdefault(place[a], []).append(place[b])
+    # (i, code), then (j, code) of the columns that i is paired with
+    others = F.array(*[F.array(*[F.lit(j) for j in partners.get(i, [])]).cast("array<int>") for i in range(len(cols))])
+    rows = coded(df, cols).select("codes", F.posexplode("codes").alias("i", "a")).where(F.col("a").isNotNull())
+    rows = rows.select("codes", "i", "a", F.explode(F.get(others, F.col("i"))).alias("j"))
+    rows = rows.select("i", "j", "a", F.get("codes", F.col("j")).alias("b")).where(F.col("b").isNotNull())
+    path = scratch_dir(spark, "cells")
+    rows.groupBy("i", "j", "a", "b").agg(F.count(F.lit(1)).alias("o")).write.parquet(path)
     # doubles: o * o * n passes the range of a long from some 2 million rows on
-    cells = rows.groupBy("pair", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("o"))
-    ra = cells.groupBy("pair", "a").agg(F.sum("o").alias("na"))
-    rb = cells.groupBy("pair", "b").agg(F.sum("o").alias("nb"))
-    tot = cells.groupBy("pair").agg(F.sum("o").alias("n"), F.count_distinct("a").alias("r"),
-                                    F.count_distinct("b").alias("c"))
-    j = cells.join(ra, ["pair", "a"]).join(rb, ["pair", "b"]).join(tot, "pair")
-    chi = j.groupBy("pair", "n", "r", "c").agg(
+    cells = spark.read.parquet(path).withColumn("o", F.col("o").cast("double"))
+    ra = cells.groupBy("i", "j", "a").agg(F.sum("o").alias("na"))
+    rb = cells.groupBy("i", "j", "b").agg(F.sum("o").alias("nb"))
+    # rows of a pair and its number of values on each side
+    tot = ra.groupBy("i", "j").agg(F.sum("na").alias("n"), F.count(F.lit(1)).alias("r")).join(
+        rb.groupBy("i", "j").agg(F.count(F.lit(1)).alias("c")), ["i", "j"])
+    j = cells.join(ra, ["i", "j", "a"]).join(rb, ["i", "j", "b"]).join(F.broadcast(tot), ["i", "j"])
+    chi = j.groupBy("i", "j", "n", "r", "c").agg(
         F.sum(F.col("o") * F.col("o") * F.col("n") / (F.col("na") * F.col("nb"))).alias("_s"))
-    chi = chi.select("pair", F.col("n").cast("long").alias("n"), "r", "c",
+    name = F.array(*[F.lit(c) for c in cols])
+    chi = chi.select(F.concat_ws("|", F.get(name, F.col("i")), F.get(name, F.col("j"))).alias("pair"),
+                     F.col("n").cast("long").alias("n"), "r", "c",
                      F.greatest(F.col("_s") - F.col("n"), F.lit(0.0)).alias("chi2"))
     k = F.least(F.col("r"), F.col("c")) - 1
     return chi.select("pair", "n", "chi2",

@@ -148,3 +148,28 @@ def test_qq_fit_is_the_line_through_the_points(spark, sf_small):
     slope, intercept = np.polyfit(pts["theoretical"], pts["sample"], 1)
     assert abs(fit.slope - slope) < 1e-4 and abs(fit.intercept - intercept) < 1e-4
     assert abs(fit.r - np.corrcoef(pts["theoretical"], pts["sample"])[0, 1]) < 1e-4
+
+
+def test_association_by_hand_with_nulls_and_large_dictionaries(spark, monkeypatch):
+    """Literal and joined dictionaries give the same; NULLs leave their pairs; clashing names; empty table."""
+    rows = [(i % 3, f"v{i % 7}", None if i % 5 == 0 else str(i % 2), None) for i in range(210)]
+    df = spark.createDataFrame(rows, "i int, code string, value string, none string")
+    pairs = [("i", "code"), ("i", "value"), ("code", "value"), ("i", "none")]
+
+    def by_hand(a, b):
+        both = [(r[a], r[b]) for r in rows if r[a] is not None and r[b] is not None]
+        n, seen = len(both), {}
+        for x in both:
+            seen[x] = seen.get(x, 0) + 1
+        left = {x: sum(o for (p, _), o in seen.items() if p == x) for x, _ in both}
+        right = {y: sum(o for (_, q), o in seen.items() if q == y) for _, y in both}
+        return n, sum((seen.get((x, y), 0) - left[x] * right[y] / n) ** 2 / (left[x] * right[y] / n)
+                      for x in left for y in right)
+
+    want = {"i|code": by_hand(0, 1), "i|value": by_hand(0, 2), "code|value": by_hand(1, 2)}
+    for limit in (64, 2, 0):
+        monkeypatch.setattr(A, "MAX_LITERAL_CODES", limit)
+        got = {r.pair: (r.n, r.chi2) for r in A.association(df, pairs).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[p][0] == want[p][0] and abs(got[p][1] - want[p][1]) < 1e-6 for p in want)
+    assert A.association(df.limit(0), pairs).count() == 0
