@@ -18,6 +18,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import CLASS_WEIGHTS, PROBA_THRESHOLD, RANDOM_STATE, TARGET_PREFIX
 from .features import FeatureEncoder, FittedFeatures
@@ -166,6 +167,25 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
     return ProductModel(feats, kept, models)
 
 
+def model_params(train: DataFrame, names: DataFrame) -> DataFrame:
+    """The parameter table, a row per target: its columns in ``names`` and the train mean income."""
+    # one row beside the target dimension
+    return names.crossJoin(F.broadcast(train.agg(F.avg("income").alias("income_mean"))))
+
+
+def write_params(params: DataFrame, path: str) -> None:
+    """The parameter table as JSON lines with its column types; NULLs stay in the lines."""
+    params.coalesce(1).write.option("ignoreNullFields", "false").json(os.path.join(path, "rows"))
+    params.sparkSession.createDataFrame([(params.schema.json(),)], "schema string").coalesce(1) \
+        .write.text(os.path.join(path, "schema"))
+
+
+def read_params(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``write_params`` has written."""
+    schema = T.StructType.fromJson(json.loads(spark.read.text(os.path.join(path, "schema")).first()[0]))
+    return spark.read.schema(schema).json(os.path.join(path, "rows"))
+
+
 def recommend(model: ProductModel, df: DataFrame, keys: Sequence[str] = ("id", "fetch_date"),
               threshold: float = PROBA_THRESHOLD, places: int = 4) -> DataFrame:
     """E14 / R04 per request row: labels with probability >= threshold, ranked

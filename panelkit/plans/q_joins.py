@@ -83,6 +83,22 @@ def j04_name_predictions(spark, sf):
     return L.name_predictions(s, names).select("row_id", "name", "value")
 
 
+@query("j04_name_map", with_ctes(
+    "SELECT s.row_id, string_agg(n.name || '=' || CAST(s.yhat AS VARCHAR), ';' ORDER BY n.name) AS predictions, "
+    "count(*) AS n_names FROM scored s JOIN (VALUES "
+    + ", ".join(f"('{t}', '{n}')" for t, n in SCORED_NAMES) + ") n(target, name) "
+    "ON s.target = n.target GROUP BY s.row_id", "scored"))
+def j04_name_map(spark, sf):
+    """One map per row from display name to the predicted 0/1, shown as text by name."""
+    s = S.scored(spark, sf).select("row_id", "target", F.col("yhat").alias("value"))
+    names = spark.createDataFrame(SCORED_NAMES, "target string, name string")
+    maps = L.as_name_map(L.name_predictions(s, names), ["row_id"])
+    shown = F.transform(F.array_sort(F.map_keys("predictions")),
+                        lambda name: F.concat(name, F.lit("="), F.col("predictions")[name].cast("string")))
+    return maps.select("row_id", F.concat_ws(";", shown).alias("predictions"),
+                       F.size("predictions").cast("long").alias("n_names"))
+
+
 @query("j05_align_rows", with_ctes(
     f"""SELECT f.id, f.fetch_date, f.income, l.target__ind_1m_urgent
         FROM (SELECT * FROM snapshot WHERE ind_deceased = 'N') f

@@ -188,13 +188,14 @@ def _params_sql():
 
 @query("s09_model_params", with_ctes(_params_sql(), "snapshot"))
 def s09_model_params(spark, sf):
-    """Kept target names and the train mean income (the model parameter table)."""
+    """Kept target names and the train mean income, written as JSON lines and read back."""
     train, _ = labelled_split(spark, sf)
     kept = MD.varying_targets(train, TARGETS)
     names = target_names(spark).where(F.col("target").isin(kept)) \
         .select("target", F.col("name").alias("name_en"))
-    mean = train.agg(r6(F.avg("income")).alias("income_mean")).withColumn("_k", F.lit(0))
-    return (names.withColumn("_k", F.lit(0)).join(F.broadcast(mean), "_k").drop("_k"))
+    path = scratch_dir(spark, "model-params")
+    MD.write_params(MD.model_params(train, names), path)
+    return MD.read_params(spark, path).select("target", "name_en", r6("income_mean").alias("income_mean"))
 
 
 @query("m02_model_scores")

@@ -76,3 +76,12 @@ def test_cross_validator_takes_the_stage(split):
     best = search.fit(data)
     assert len(best.avgMetrics) == 2
     assert best.transform(data).where("prediction is null").count() == 0
+
+
+def test_parameters_keep_nulls_and_types(spark, tmp_path):
+    params = spark.createDataFrame([("a", None, 1.5), ("b", "Бонд \"x\"", None)], "target string, name string, income_mean double")
+    MD.write_params(params, str(tmp_path / "params"))
+    back = MD.read_params(spark, str(tmp_path / "params"))
+    assert back.schema == params.schema and sorted(back.collect(), key=str) == sorted(params.collect(), key=str)
+    MD.write_params(params.limit(0), str(tmp_path / "none"))
+    assert MD.read_params(spark, str(tmp_path / "none")).columns == params.columns
