@@ -1,6 +1,6 @@
 """One boosted-tree classifier per product label.
 
-Training reads one cached, assembled frame; each label's GBT fit is a
+Training reads one written, assembled frame; each label's GBT fit is a
 distributed Spark ML job (the loop over labels runs on the driver, the data
 passes do not). Scoring chains every label's model over one scan and returns
 the long form (row keys, target, proba, yhat) that the metrics consume.
@@ -113,44 +113,58 @@ class ProductModel:
         return cls(feats, meta["targets"], models)
 
 
+def fit_layout(n_rows: int, n_labels: int, slots: int, parallelism: int | None = None) -> tuple[int, int]:
+    """Partitions of the train frame, and label fits at once (``parallelism``, or by size).
+
+    Small frames: the fits together fill the slots, each with few tasks. Large ones: a
+    partition per ``ROWS_PER_PARTITION`` rows, in whole waves of the slots, and two fits at once,
+    as each keeps its own copy of the binned rows.
+    """
+    at_once = parallelism or n_labels
+    partitions = max(1, -(-slots // max(1, min(at_once, n_labels))), -(-n_rows // ROWS_PER_PARTITION))
+    if partitions > slots:
+        partitions = -(-partitions // slots) * slots
+    return partitions, parallelism or max(2, min(n_labels, -(-2 * slots // partitions)))
+
+
 def fit_product_model(train: DataFrame, products: Sequence[str],
                       targets: Sequence[str] | None = None,
                       weights: tuple[float, float] | str = CLASS_WEIGHTS,
                       max_iter: int = DEFAULT_MAX_ITER, max_depth: int = DEFAULT_MAX_DEPTH,
-                      seed: int = RANDOM_STATE, parallelism: int = 4) -> ProductModel:
+                      seed: int = RANDOM_STATE, parallelism: int | None = None) -> ProductModel:
     """Fit features on train, keep varying labels (A25), one GBT each.
 
-    Label fits are independent Spark jobs over the same cached frame; up to
-    ``parallelism`` of them are submitted at once from driver threads (as
-    ``CrossValidator(parallelism=...)`` does), so the cluster is not idle
-    between the small per-iteration jobs of a single fit.
+    Label fits are independent Spark jobs over the same frame; several are
+    submitted at once from driver threads (as ``CrossValidator(parallelism=...)``
+    does), so the cluster is not idle between the small per-iteration jobs of a
+    single fit. ``fit_layout`` sets partitions and, without ``parallelism``, fits at once.
     """
     targets = list(targets or [TARGET_PREFIX + p for p in products])
     # GBT checkpoints its running predictions every ``checkpointInterval``
     # iterations when the context has a checkpoint folder: make sure it is the
     # session's shared one, so a lost executor never replays the whole boosting.
-    from ..session import checkpoint_dir
+    from ..session import checkpoint_dir, scratch_dir
     checkpoint_dir(train.sparkSession)
     # The fitted constants take several passes over the train rows: keep them
     # (memory, spilling to disk) instead of re-deriving labels for every pass.
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = train.count()
     feats = FeatureEncoder(products).fit(train)
-    assembled = feats.assemble(feats.transform(train))
-    # Boosting runs several small jobs per iteration over this frame: one
-    # partition per task slot, or per ROWS_PER_PARTITION rows when larger, is
-    # enough; a narrow coalesce trims the shuffle-sized partition count.
+    # Boosting runs several small jobs per iteration over this frame, and each of their
+    # tasks carries its lineage: it is written, so that is one scan and not the whole
+    # preparation, and dealt into few even partitions.
+    path = scratch_dir(train.sparkSession, "train-features")
+    feats.assemble(feats.transform(train)).select(*targets, "features").write.parquet(path)
+    train.unpersist()
     slots = train.sparkSession.sparkContext.defaultParallelism
-    target = max(slots, -(-n_rows // ROWS_PER_PARTITION))
-    if assembled.rdd.getNumPartitions() > target:
-        assembled = assembled.coalesce(target)
-    assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
+    partitions, at_once = fit_layout(n_rows, len(targets), slots, parallelism)
+    assembled = train.sparkSession.read.parquet(path).repartition(partitions) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     kept = varying_targets(assembled, targets)
     pos = {}
     if weights == "balanced":
         pos = {r["target"]: r["pos_weight"] for r in balanced_weights(assembled, kept).collect()}
     assembled.count()  # materialise the cache once, before the parallel fits
-    train.unpersist()
 
     def fit_one(t: str):
         data = assembled.withColumn("_w", class_weight_column(t, weights, pos.get(t))) \
@@ -161,7 +175,7 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
         return t, gbt.fit(data)
 
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(kept)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(kept)))) as pool:
         models = dict(pool.map(fit_one, kept))
     assembled.unpersist()
     return ProductModel(feats, kept, models)

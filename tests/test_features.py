@@ -76,3 +76,30 @@ def test_trees_have_the_depth_of_the_reference():
     from panelkit.operators import model
     d = inspect.signature(model.fit_product_model).parameters
     assert (d["max_iter"].default, d["max_depth"].default) == (100, 6)
+
+
+def test_fit_layout_small_frames_in_few_partitions():
+    from panelkit.operators.model import ROWS_PER_PARTITION, fit_layout
+    # five fits share the slots of a small frame; a large one is cut in whole waves, two fits at once
+    assert fit_layout(100_000, 5, 12) == (3, 5)
+    assert fit_layout(100_000, 5, 12, 4) == (3, 4)
+    partitions, at_once = fit_layout(28 * ROWS_PER_PARTITION, 5, 12)
+    assert partitions == 36 and at_once == 2
+    assert fit_layout(0, 1, 1) == (1, 2)
+
+
+def test_fits_read_a_written_frame(spark, sf_small, monkeypatch):
+    """The frame that boosting reads has the written table behind it, not the whole preparation."""
+    from panelkit.operators import model as MD
+    from panelkit.plans.q_model import OP, TARGETS, labelled_split
+    train, _ = labelled_split(spark, sf_small)
+    plans, fit = [], MD.GBTClassifier.fit
+
+    def seen(self, data, *more):
+        plans.append(data._jdf.queryExecution().analyzed().toString())
+        return fit(self, data, *more)
+
+    monkeypatch.setattr(MD.GBTClassifier, "fit", seen)
+    model = MD.fit_product_model(train, OP, TARGETS, max_iter=1, max_depth=2)
+    assert len(plans) == len(model.targets) > 0
+    assert all("Relation" in p and "Window" not in p and "Join" not in p for p in plans)
