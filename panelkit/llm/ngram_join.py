@@ -20,8 +20,9 @@ order by frequency is needed, so nothing about the corpus is broadcast, and freq
 alone never bring documents together.
 
 Documents with the same set are one class; only classes are searched, with their number of
-copies. Groups of more than ``BLOCK_DOCS`` classes are cut into blocks, and each pair of blocks
-is one task; a task gives one row per class (links counted, and the smallest class it is
+copies. Groups of more than ``BLOCK_DOCS`` classes are cut into blocks, those of more than
+``WHOLE_BLOCKS`` by size level first, as linked sizes share a level or are neighbours; each pair
+of blocks that can link is one task; a task gives one row per class (links counted, and the smallest class it is
 connected to there), never pairs. A last round of components joins these.
 
 Cases: texts without words and null texts have an empty set, link with nothing and are their
@@ -40,13 +41,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm._common import coded, doc_texts, few_rows, gather, materialise, mix64, slices, split_words, starts_of, strings
+from panelkit.llm._common import SLICE_BYTES, coded, doc_texts, few_rows, gather, materialise, mix64, slices, split_words, starts_of, strings
 from panelkit.llm.components import components
 
 GRAM = 3
 THRESHOLD = (90, 100)
 BLOCK_DOCS = 2048
 BLOCK_GRAMS = 2_000_000
+#: Blocks of a group up to which it is not cut by size.
+WHOLE_BLOCKS = 3
+#: Blocks of a level, more than there can be.
+CELLS = 1 << 32
 #: Representatives sent to all executors instead of a shuffle of the texts, at most.
 BROADCAST_ROWS = 500_000
 #: Differences from which ranges are hashed by two of three.
@@ -85,6 +90,20 @@ def gram_sets(texts: pa.Array, gram: int = GRAM) -> list[np.ndarray]:
     return out
 
 
+def unzipped_sets(texts: pa.ChunkedArray, rows: list[int], gram: int) -> list[np.ndarray]:
+    """``gram_sets`` of some compressed texts, about ``SLICE_BYTES`` unpacked at once."""
+    import zstandard
+
+    unzip, out, held, size = zstandard.ZstdDecompressor(), [], [], 0
+    for k in rows:
+        held.append(unzip.decompress(texts[k].as_py()))
+        size += len(held[-1])
+        if size > SLICE_BYTES or k == rows[-1]:
+            out += gram_sets(pa.array(held, pa.large_binary()).view(pa.large_string()), gram)
+            held, size = [], 0
+    return out
+
+
 def class_keys(sets: list[np.ndarray]) -> list[bytes]:
     """A 128-bit key of each set."""
     out = []
@@ -198,13 +217,13 @@ class Lists:
         return some[got >= need]
 
 
-def links_in(sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: tuple[int, int] = THRESHOLD):
-    """(q, linked) over a block; with ``cross`` only pairs of different sides."""
+def links_in(sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: tuple[int, int] = THRESHOLD, within: int | None = None):
+    """(q, linked) over a block; with ``cross`` only pairs of different sides, and those of side ``within``."""
     lists = Lists(sets)
     for q in range(len(sets)):
         some = lists.search(q, threshold)
         if cross:
-            some = some[side[some] != side[q]]
+            some = some[(side[some] != side[q]) | (side[q] == within)]
         if len(some):
             yield q, some
 
@@ -252,28 +271,49 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
     groups = components(_stars(rows.mapInArrow(route, PACKED)), "ngram-groups")
 
     members = groups.join(classes, F.col("node") == F.col("of_node")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
-    loads = members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
-    loads = loads.withColumn("blocks", F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int"))
-    members = members.join(loads.select(F.col("grp").alias("of"), "blocks"), F.col("grp") == F.col("of")).drop("of")
-    members = materialise(members.select("cls", "grp", "copies", "blocks", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"),
+    def blocks_of(rows, *by):
+        sums = rows.groupBy(*by).agg(F.count("*").alias("docs"), F.sum("n").alias("grams"))
+        return sums.select(*[F.col(c).alias(f"of_{c}") for c in by], F.greatest(
+            F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("long").alias("blocks"))
+
+    # linked sizes lie on the same or neighbouring levels: a large group is cut into levels first
+    members = members.join(blocks_of(members, "grp"), F.col("grp") == F.col("of_grp"))
+    width = math.log(threshold[1] / threshold[0] * (1 + 1e-6))
+    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("long")
+    members = materialise(members.withColumn("level", F.when(F.col("blocks") > WHOLE_BLOCKS, level).otherwise(F.lit(0).cast("long")))
+                          .drop("of_grp", "blocks"), "ngram-levels")
+    cells = blocks_of(members, "grp", "level").groupBy("of_grp").agg(  # a group has few levels: their number grows with the log of the sizes
+        F.map_from_entries(F.collect_list(F.struct("of_level", "blocks"))).alias("cells"))
+    members = members.join(cells, F.col("grp") == F.col("of_grp"))
+    near = [F.coalesce(F.try_element_at("cells", F.col("level") + x), F.lit(0)).alias(c) for x, c in ((0, "here"), (-1, "below"), (1, "above"))]
+    members = members.select("cls", "grp", "copies", "level", *near, "rep")
+    members = materialise(members.select("cls", "grp", "copies", "level", "here", "below", "above", F.pmod(F.xxhash64("cls"), F.col("here")).alias("block"),
                                          F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash")), "ngram-members")
     # size check: the representatives go to all executors, or else both sides are shuffled
     reps = F.broadcast(members) if few_rows(members, BROADCAST_ROWS) else members
     texts = rows.join(reps, F.col("doc_id").eqNullSafe(F.col("rep_id")) & F.col("text_hash").eqNullSafe(F.col("rep_hash")))
-    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                       lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
-    texts = texts.select("cls", "grp", "copies", "block", "blocks", "text")
-
-    def sets_of(batches):
+    # cells (level, block) as one number; a cell's own pairs are found with the first cell above it
+    pairs = F.expr(f"""concat(
+        filter(transform(sequence(0L, here - 1), x -> struct(level * {CELLS} + least(x, block) as i, level * {CELLS} + greatest(x, block) as j)),
+               p -> above = 0 or p.i <> p.j),
+        if(above = 0, array(), transform(sequence(0L, greatest(above, 1) - 1), x -> struct(level * {CELLS} + block as i, (level + 1) * {CELLS} + x as j))),
+        if(below = 0, array(), transform(sequence(0L, greatest(below, 1) - 1), x -> struct((level - 1) * {CELLS} + x as i, level * {CELLS} + block as j))))""")
+    texts = texts.select("cls", "grp", "copies", (F.col("level") * CELLS + F.col("block")).alias("cell"), pairs.alias("pairs"), "text")
+
+    # the texts travel, compressed: they take less room than the hashes of their grams
+    def zipped(batches):
+        import zstandard
+
+        zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = gram_sets(part.column("text"), gram)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in ("cls", "grp", "copies", "block", "blocks")]
-                    + [pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "grp", "copies", "block", "blocks", "grams"])
+                    [part.column(c) for c in ("cls", "grp", "copies", "cell", "pairs")]
+                    + [pa.array(map(zip_.compress, part.column("text").cast(pa.binary()).to_pylist()), pa.binary())],
+                    names=["cls", "grp", "copies", "cell", "pairs", "text"])
 
-    blocks = texts.mapInArrow(sets_of, "cls binary, grp long, copies long, block int, blocks int, grams binary")
-    blocks = blocks.withColumn("pair", F.explode(both)).select("cls", "grp", "copies", "block", "pair.i", "pair.j", "grams")
+    blocks = texts.mapInArrow(zipped, "cls binary, grp long, copies long, cell long, pairs array<struct<i: long, j: long>>, text binary")
+    blocks = blocks.withColumn("pair", F.explode("pairs")).select("cls", "grp", "copies", "cell", "pair.i", "pair.j", "text")
 
     def search(table: pa.Table) -> pa.Table:
         cls = table.column("cls").to_pylist()
@@ -281,9 +321,8 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
         keep.sort(key=lambda k: cls[k])
         cls = [cls[k] for k in keep]
         copies = table.column("copies").to_numpy()[keep]
-        side = table.column("block").to_numpy()[keep]
-        grams = table.column("grams")
-        sets = [np.frombuffer(grams[k].as_py(), np.uint64) for k in keep]
+        side = table.column("cell").to_numpy()[keep]
+        sets = unzipped_sets(table.column("text"), keep, gram)
         root, n_links = list(range(len(cls))), np.zeros(len(cls), np.int64)
 
         def find(x):
@@ -292,8 +331,9 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                 x = root[x]
             return x
 
-        cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        for q, some in links_in(sets, side, cross, threshold):
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        own = i if j == (i // CELLS + 1) * CELLS else None
+        for q, some in links_in(sets, side, i != j, threshold, own):
             n_links[q] += copies[some].sum()
             n_links[some] += copies[q]
             for k in some.tolist():

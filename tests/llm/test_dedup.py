@@ -263,3 +263,27 @@ def test_suffix_arrays_side_by_side(monkeypatch):
         got = suffix_dedup.suffix_orders(np.frombuffer(b"".join(texts), np.uint8), begin)
         for k, t in enumerate(texts):
             assert (got[begin[k]:begin[k + 1]] - begin[k]).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+def test_a_chained_group_is_cut_by_size(documents, monkeypatch):
+    """Texts that are beginnings of one text chain into one group: sets go to blocks of near sizes only."""
+    rows = [(k, " ".join(f"w{j}" for j in range(10 + 3 * k))) for k in range(120)]
+    sent, plain = [], ngram_join.materialise
+
+    def seen(df, name):
+        out = plain(df, name)
+        if name == "ngram-found":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", seen)
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 6)
+    got = ngram_join.jaccard_join(documents(rows), 3, (90, 100)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in got) == brute_join(rows, 3, 90)
+    assert sent[0] <= 8 * len(rows)
+    # any group cut by size, small ones too
+    monkeypatch.setattr(ngram_join, "WHOLE_BLOCKS", 0)
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 2)
+    rows = near_copies()
+    got = ngram_join.jaccard_join(documents(rows), 5, (80, 100)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in got) == brute_join(rows, 5, 80)
