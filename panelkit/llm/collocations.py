@@ -47,7 +47,7 @@ BLOCK_BYTES = 4 << 20
 FILTER_WORDS = 1 << 23
 CHUNK = 1 << 13
 #: Keys that a task holds before it sums or sends them.
-HELD_KEYS = 3_000_000
+HELD_KEYS = 1_000_000
 #: Phrases that a task holds with their texts before it sends them.
 HELD_PHRASES = 400_000
 #: Languages whose word totals are sent to all executors, at most; beyond, they are joined.
