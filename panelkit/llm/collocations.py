@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm._common import coded, few_rows, materialise, mix64, slices, strings, wanted_partitions
+from panelkit.llm._common import coded, delta_bytes, few_rows, from_delta_bytes, materialise, mix64, slices, strings, wanted_partitions
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -268,25 +268,21 @@ def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 
 
 def _packed(keys: np.ndarray, n: np.ndarray, parts: int):
-    """Sorted keys by range: the distances between them, the bytes of one order in a row (the high
-    ones are zeros, which the shuffle compresses), and their counts in as few bytes as they need."""
+    """Sorted keys by range, and their counts in as few bytes as they need."""
     bounds = (np.arange(1, parts, dtype=object) * 2 ** 64 // parts).astype(np.uint64)
     at = np.r_[0, np.searchsorted(keys, bounds), len(keys)]
     used = np.flatnonzero(np.diff(at))
     out = []
     for p in used.tolist():
         k, c = keys[at[p]:at[p + 1]], n[at[p]:at[p + 1]]
-        far = np.diff(k, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
-        out.append((far.T.tobytes(), c.astype(np.min_scalar_type(int(c.max()))).tobytes()))
+        out.append((delta_bytes(k), c.astype(np.min_scalar_type(int(c.max()))).tobytes()))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in zip(*out))], names=["part", "keys", "counts"])
 
 
 def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    size = len(keys) // 8
-    far = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(8, size).T).view("<u8").ravel()
-    width = len(counts) // size
-    return np.cumsum(far, dtype=np.uint64), np.frombuffer(counts, f"<u{width}").astype(np.int64)
+    width = len(counts) // (len(keys) // 8)
+    return from_delta_bytes(keys), np.frombuffer(counts, f"<u{width}").astype(np.int64)
 
 
 def _filter(spark: SparkSession, keys: DataFrame, n_words: int):

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelkit.llm import ngram_join, suffix_dedup
 from panelkit.llm.components import components
@@ -287,3 +288,24 @@ def test_a_chained_group_is_cut_by_size(documents, monkeypatch):
     rows = near_copies()
     got = ngram_join.jaccard_join(documents(rows), 5, (80, 100)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in got) == brute_join(rows, 5, 80)
+
+
+def test_texts_travel_compressed_to_their_spans(documents):
+    passage = "the same passage of more than fifty bytes stands here, in both texts of this test. "
+    rows = [(1, passage * 40 + "one"), (2, "two é " + passage), (3, None), (4, ""), (5, "short")]
+    docs = documents(rows)
+    flagged = suffix_dedup._flagged(docs, "doc_id", "text", [])
+    sizes = {r["__id"]: r.n for r in flagged.select("__id", F.length("__data").alias("n")).collect()}
+    assert sizes[1] < len(rows[0][1]) / 5
+    got = {r.doc_id: r for r in suffix_dedup.dedup(docs).collect()}
+    assert {k: r.text for k, r in got.items()} == {1: rows[0][1], 2: "two é", 3: None, 4: "", 5: "short"}
+    assert {(r.source, r["size"], r.key, r["a.b"]) for r in got.values()} == {("s", "x", "y", "z")}
+
+
+def test_hashes_travel_as_distances():
+    values = np.sort(np.random.default_rng(3).integers(0, 2 ** 64, 1000, dtype=np.uint64))
+    values[1] = values[0]
+    raw = suffix_dedup.delta_bytes(values)
+    assert (suffix_dedup.from_delta_bytes(raw) == values).all()
+    short = suffix_dedup._short(values)  # of 8 bytes two are always zero, a third for each 256 values
+    assert not any(suffix_dedup.delta_bytes(short)[:-6 * 1000 or None][6 * 1000:]) and len(raw) == 8000
