@@ -309,3 +309,15 @@ def test_hashes_travel_as_distances():
     assert (suffix_dedup.from_delta_bytes(raw) == values).all()
     short = suffix_dedup._short(values)  # of 8 bytes two are always zero, a third for each 256 values
     assert not any(suffix_dedup.delta_bytes(short)[:-6 * 1000 or None][6 * 1000:]) and len(raw) == 8000
+
+
+def test_batches_to_python_are_small(spark):
+    rows = spark.range(0, 20_000, 1, 1).select(F.expr("repeat('x', 3000)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows]), "size": pa.array([batch.nbytes])})
+
+    got = rows.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 20_000
+    assert max(r["size"] for r in got) < 9 << 20
