@@ -15,8 +15,9 @@ space is cut into ranges; each document gives one hash for each range that it ha
 and level. If one of a pair has elements in more than D ranges, the elements of at least one of
 them are the same in both. A document with fewer repeats this with another hash; both of a
 pair do so if neither has enough. Documents with equal
-hashes form routing groups (connected components), which are searched block by block. No
-order by frequency is needed, so nothing about the corpus is broadcast, and frequent grams
+hashes form routing groups (connected components), which are searched block by block. The
+smallest hashes of each document are joined first: documents that they connect count as one node
+when all hashes meet, and do not give the same edge in range after range. No order by frequency is needed, so nothing about the corpus is broadcast, and frequent grams
 alone never bring documents together.
 
 Documents with the same set are one class; only classes are searched, with their number of
@@ -57,7 +58,9 @@ BROADCAST_ROWS = 500_000
 #: Differences from which ranges are hashed by two of three.
 THREES_FROM = 8
 #: Grams whose routes go to one range of the hash.
-ROUTES_A_BUCKET = 2_000_000
+ROUTES_A_BUCKET = 1_000_000
+#: Smallest routes of a document that are joined before all of them meet.
+SKETCH = 8
 MU = 0.5
 
 _ODD = np.random.default_rng(11).integers(1, 2 ** 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -175,20 +178,25 @@ def route_hashes(sets: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD)
 
 
 class Lists:
-    """Inverted lists of the sets of a block."""
+    """Inverted lists of the sets of a block, each sorted."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], np.int64)
         self.at = starts_of(self.sizes)
         flat = np.concatenate(sets)
-        self.grams, self.codes = np.unique(flat, return_inverse=True)
-        owner = np.repeat(np.arange(len(sets), dtype=np.int64), self.sizes)
-        order = np.argsort(self.codes, kind="stable")
-        self.docs = owner[order]
-        self.lens = np.bincount(self.codes, minlength=len(self.grams))
-        self.begin = starts_of(self.lens)
-        # one sorted key for each (document, gram): the target of the binary probes
-        self.keys = np.sort(owner * len(self.grams) + self.codes)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        new = np.r_[True, flat[1:] != flat[:-1]] if len(flat) else np.zeros(0, bool)
+        self.n_grams = int(new.sum())
+        self.begin = np.append(np.flatnonzero(new), len(flat))
+        self.lens = np.diff(self.begin)
+        del flat
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
+        self.docs = owner[order]  # in ascending order within a list
+        self.codes = np.empty(len(order), np.int32)
+        self.codes[order] = np.cumsum(new, dtype=np.int32) - 1
+        # one key for each (document, gram), ascending as the sets are: the target of the binary probes
+        self.keys = owner * np.int64(self.n_grams) + self.codes
 
     def search(self, q: int, threshold: tuple[int, int] = THRESHOLD, mu: float = MU) -> np.ndarray:
         """Documents after ``q`` that link with it: DivideSkip."""
@@ -211,7 +219,7 @@ class Lists:
             return some
         got = counts[some]
         if len(long_):
-            wanted = (some[:, None] * len(self.grams) + np.sort(long_)[None, :]).ravel()
+            wanted = (some[:, None] * self.n_grams + np.sort(long_)[None, :]).ravel()
             at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
             got = got + (self.keys[at] == wanted).reshape(len(some), -1).sum(axis=1)
         return some[got >= need]
@@ -246,10 +254,11 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
+                    "sketch": sketches(route_hashes(sets, threshold)),
                     "node": nodes_of(keys), "cls": pa.array([key if len(s) else None for key, s in zip(keys, sets)], pa.binary())})
 
     described = materialise(rows.mapInArrow(
-        describe, "doc_id long, text_hash long, n long, node long, cls binary"), "ngram-described")
+        describe, "doc_id long, text_hash long, n long, sketch array<long>, node long, cls binary"), "ngram-described")
     classes = materialise(
         described.where("cls is not null").groupBy("cls").agg(
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("node").alias("of_node"),
@@ -259,6 +268,12 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
     # are packed; to keep them beside the documents would take more room than the texts
     total = described.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // ROUTES_A_BUCKET))
+    early = components(_sketch_edges(described), "ngram-early")
+    known = described.join(early.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (F.col("label") != F.col("of")))
+    known = materialise(known.select(F.col("doc_id").alias("known_id"), F.col("text_hash").alias("known_hash"), "label").distinct(), "ngram-known")
+    # size check, as for the representatives
+    known_rows = F.broadcast(known) if few_rows(known, BROADCAST_ROWS) else known
+    named = rows.join(known_rows, F.col("doc_id").eqNullSafe(F.col("known_id")) & F.col("text_hash").eqNullSafe(F.col("known_hash")), "left")
 
     def route(batches):
         for batch in batches:
@@ -266,9 +281,12 @@ def jaccard_join(docs: DataFrame, gram: int = GRAM, threshold: tuple[int, int] =
                 sets = gram_sets(part.column("text"), gram)
                 first = {key: k for k, key in enumerate(class_keys(sets)) if len(sets[k])}  # copies in a slice route once
                 if first:
-                    yield pack_routes(route_hashes([sets[k] for k in first.values()], threshold), nodes_of(list(first)), buckets)
+                    some = pa.array(list(first.values()))
+                    nodes = pc.coalesce(part.column("label").take(some), pa.array(nodes_of(list(first)))).to_numpy(zero_copy_only=False)
+                    yield pack_routes(route_hashes([sets[k] for k in first.values()], threshold), nodes, buckets)
 
-    groups = components(_stars(rows.mapInArrow(route, PACKED)), "ngram-groups")
+    late = _stars(named.select("text", "label").mapInArrow(route, PACKED))
+    groups = components(late.unionByName(early.select(F.col("node").alias("a"), F.col("label").alias("b"))), "ngram-groups")
 
     members = groups.join(classes, F.col("node") == F.col("of_node")).select("cls", F.col("label").alias("grp"), "copies", "n", "rep")
     def blocks_of(rows, *by):
@@ -366,6 +384,20 @@ def nodes_of(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), ">i8").reshape(-1, 2)[:, 0].astype(np.int64)
 
 
+def sketches(routes: list[np.ndarray]) -> pa.Array:
+    """The ``SKETCH`` smallest routes of each set."""
+    least = [np.partition(r, SKETCH - 1)[:SKETCH] if len(r) > SKETCH else r for r in routes]
+    flat = np.concatenate([*least, np.zeros(0, np.int64)])
+    return pa.ListArray.from_arrays(pa.array(starts_of(np.array([len(r) for r in least], np.int64)).astype(np.int32)), pa.array(flat, pa.int64()))
+
+
+def _sketch_edges(described: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the nodes of each route of the sketches."""
+    routes = described.select("node", F.explode("sketch").alias("route")).distinct()
+    shared = routes.groupBy("route").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
+    return routes.withColumnRenamed("node", "a").join(shared.select("route", "b"), "route").where("a <> b").select("a", "b")
+
+
 def _first_of_route(routes: np.ndarray, nodes: np.ndarray):
     """(routes once each in ascending order, smallest node of each, distinct (node, smallest node) pairs of the
     routes that several nodes have)."""
@@ -409,7 +441,8 @@ def _stars(packed: DataFrame) -> DataFrame:
     """Edges (a, b) that connect the nodes of each shared route; routes of one node give none.
 
     A range holds some ``ROUTES_A_BUCKET`` routes at any size of the input, and a route of very
-    many rows is one entry of each slice that has it.
+    many rows is one entry of each slice that has it. The nodes that the sketches connect are one
+    node here, so they give no edges, however many ranges they share routes in.
     """
     def meet(table: pa.Table) -> pa.Table:
         routes, nodes, counts, edges = (b"".join(table.column(c).to_pylist()) for c in ("routes", "nodes", "counts", "edges"))

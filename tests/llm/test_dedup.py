@@ -223,6 +223,30 @@ def test_a_hot_route_is_one_entry_a_slice(spark):
     assert reach(edges) == reach([(c, hubs[r]) for c, rs in rows for r in rs if hubs[r] != c])
 
 
+def test_near_copies_give_few_edges(documents, monkeypatch):
+    """Near copies share routes in many ranges of the hash, but give about one edge each, however many ranges there are."""
+    own = np.random.default_rng(21)
+    rows = []
+    for g in range(12):
+        base = [f"w{x}" for x in own.integers(0, 10 ** 6, 300)]
+        for k in range(5):
+            words = list(base)
+            words[int(own.integers(300))] = f"x{g}y{k}"
+            rows.append((len(rows), " ".join(words)))
+    monkeypatch.setattr(ngram_join, "ROUTES_A_BUCKET", 300)
+    late, stars = [], ngram_join._stars
+
+    def counted(packed):
+        late.append(stars(packed))
+        return late[-1]
+
+    monkeypatch.setattr(ngram_join, "_stars", counted)
+    got = ngram_join.jaccard_join(documents(rows).repartition(4), 3, (90, 100)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links) for r in got) == brute_join(rows, 3, 90)
+    # before the sketches: up to one for each node and range
+    assert late[0].count() <= len(rows)
+
+
 def test_divide_skip_finds_the_links_of_a_block():
     own = np.random.default_rng(6)
     sets = []
