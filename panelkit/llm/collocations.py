@@ -10,12 +10,13 @@ only if its two parts that are one word shorter do.
    of the corpus is in it, or proposed, exactly if both parts are proposed.
 3. Counted phrases that reach the count but were not proposed are border failures. They join the
    proposals, and a further pass counts what only now has both parts; until no failure is left.
-4. A last pass takes the texts of the phrases that reached the count and counts them by text.
+4. A last pass counts the phrases that reached the count by two hashes, and finds the first block
+   that has each; that block alone gives its text.
 
 The words of the corpus are cut out once and written as coded blocks, which the passes read.
 
 Passes 1 to 3 count 64-bit keys, which can only add up to too much where keys collide; pass 4
-counts the phrases themselves, so all numbers are exact. Tasks know the proposals by a filter of
+tells those apart by a second hash of 64 bits. Tasks know the proposals by a filter of
 at most ``FILTER_WORDS`` 64-bit words (64 MB, the only thing broadcast; it is put together from
 chunks that Spark merges). A filter lets some further phrases through, which are then
 counted without need; it never stops a proposed one, and a filter holds all that an earlier one
@@ -33,6 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ FILTER_WORDS = 1 << 23
 CHUNK = 1 << 13
 #: Keys that a task holds before it sums or sends them.
 HELD_KEYS = 1_000_000
-#: Phrases that a task holds with their texts before it sends them.
+#: Phrases that a task holds with both hashes before it sums or sends them.
 HELD_PHRASES = 400_000
 #: Languages whose word totals are sent to all executors, at most; beyond, they are joined.
 BROADCAST_LANGS = 10_000
@@ -91,6 +93,7 @@ class Block:
         self.words, self.distinct_hashes, self.codes, self.first, self.lang, self.langs = words, hashes, codes, first, lang, langs
         self.hashes = hashes[codes]
         self.piece = np.cumsum(first, dtype=np.int32)
+        self.number = None  # of a stored block
         lang_hash = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in langs), np.uint64, len(langs))
         self.lang_hash = lang_hash[lang]
 
@@ -136,7 +139,9 @@ class Block:
         run = np.frombuffer(batch.column("run")[k].as_py(), np.int64)
         lang = np.repeat(np.frombuffer(batch.column("run_lang")[k].as_py(), np.int32).astype(np.int64), np.diff(run, append=len(codes)))
         words = batch.column("words")[k].values if "words" in batch.schema.names else None
-        return cls(words, np.frombuffer(batch.column("hashes")[k].as_py(), np.uint64), codes, first, lang, batch.column("langs")[k].as_py())
+        block = cls(words, np.frombuffer(batch.column("hashes")[k].as_py(), np.uint64), codes, first, lang, batch.column("langs")[k].as_py())
+        block.number = batch.column("block")[k].as_py()
+        return block
 
     def keys(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the phrases of ``m`` words at all places, and whether they lie in one piece.
@@ -148,13 +153,15 @@ class Block:
                 sums = sums + self.hashes[j:j + n] * _ODD[j]
         return (mix64(sums) & ~np.uint64(7)) | np.uint64(m), self.piece[:n] == self.piece[m - 1:m - 1 + n]
 
-    def second(self, m: int) -> np.ndarray:
-        """Another hash of the phrases of ``m`` words at all places."""
-        n = max(len(self.hashes) - m + 1, 0)
+    def second(self, m: int, at: np.ndarray | None = None) -> np.ndarray:
+        """Another hash of the phrases of ``m`` words at all places, or at those given."""
+        if at is None:
+            at = np.arange(max(len(self.hashes) - m + 1, 0))
+        mixed = mix64(self.distinct_hashes)
         with np.errstate(over="ignore"):
-            sums = mix64(self.lang_hash[:n] ^ _ODD[21])
+            sums = mix64(self.lang_hash[at] ^ _ODD[21])
             for j in range(m):
-                sums = sums * _ODD[22] + mix64(self.hashes[j:j + n])
+                sums = sums * _ODD[22] + mixed[self.codes[at + j]]
         return sums
 
     def counted(self, known: Filter | None, before: Filter | None = None):
@@ -216,12 +223,17 @@ def _blocks(batches):
                 yield Block.of_texts(texts, langs)
 
 
-_STORED = "codes binary, first binary, hashes binary, run binary, run_lang binary, langs array<string>, words array<string>"
+_STORED = "codes binary, first binary, hashes binary, run binary, run_lang binary, langs array<string>, words array<string>, block long"
 
 
 def _stored(texts: DataFrame) -> DataFrame:
-    """The blocks of all texts, their words cut out once and coded."""
-    return texts.mapInArrow(lambda batches: (block.store() for block in _blocks(batches)), _STORED)
+    """The blocks of all texts, their words cut out once and coded, with a number of their own."""
+    def store(batches):
+        task = TaskContext.get().partitionId() << 32
+        for k, block in enumerate(_blocks(batches)):
+            yield block.store().append_column("block", pa.array([task + k]))
+
+    return texts.mapInArrow(store, _STORED)
 
 
 def _loaded(batches):
@@ -267,17 +279,17 @@ def _summed(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def _packed(keys: np.ndarray, n: np.ndarray, parts: int):
-    """Sorted keys by range, and their counts in as few bytes as they need."""
+def _packed(keys: np.ndarray, n: np.ndarray, parts: int, **more: np.ndarray):
+    """Sorted keys by range, and their counts in as few bytes as they need; ``more`` numbers of 64 bits as they are."""
     bounds = (np.arange(1, parts, dtype=object) * 2 ** 64 // parts).astype(np.uint64)
     at = np.r_[0, np.searchsorted(keys, bounds), len(keys)]
     used = np.flatnonzero(np.diff(at))
     out = []
     for p in used.tolist():
         k, c = keys[at[p]:at[p + 1]], n[at[p]:at[p + 1]]
-        out.append((delta_bytes(k), c.astype(np.min_scalar_type(int(c.max()))).tobytes()))
+        out.append((delta_bytes(k), c.astype(np.min_scalar_type(int(c.max()))).tobytes(), *(x[at[p]:at[p + 1]].tobytes() for x in more.values())))
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in zip(*out))], names=["part", "keys", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in zip(*out))], names=["part", "keys", "counts", *more])
 
 
 def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -285,6 +297,62 @@ def _unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return from_delta_bytes(keys), np.frombuffer(counts, f"<u{width}").astype(np.int64)
 
 
+def _phrase_counts(blocks: DataFrame, least: int, wanted) -> DataFrame:
+    """(key, second, f, block, place) of the phrases in the filter ``wanted`` that occur ``least`` times or more:
+    ``block`` is the first block that has one, ``place`` a hash of the key and this block."""
+    parts = 4 * wanted_partitions(blocks.sparkSession)
+
+    def count(batches):
+        known, held, n_held = Filter(wanted.value), [], 0
+        for block in _loaded(batches):
+            for m in range(1, LONGEST + 1):
+                keys, whole = block.keys(m)
+                at = np.flatnonzero(whole)
+                at = at[known.has(keys[at])]
+                if not len(at):
+                    break
+                held.append(_by_hashes(keys[at], block.second(m, at), np.ones(len(at), np.int64), np.full(len(at), block.number)))
+                n_held += len(held[-1][0])
+            if n_held > HELD_PHRASES:
+                held = [_by_hashes(*map(np.concatenate, zip(*held)))]
+                n_held = len(held[0][0])
+                if 2 * n_held > HELD_PHRASES:
+                    keys, second, n, of = held.pop()
+                    yield from _packed(keys, n, parts, second=second, blocks=of)
+                    n_held = 0
+        if held:
+            keys, second, n, of = _by_hashes(*map(np.concatenate, zip(*held)))
+            yield from _packed(keys, n, parts, second=second, blocks=of)
+
+    def total(table: pa.Table) -> pa.Table:
+        some = [(*_unpacked(r["keys"], r["counts"]), np.frombuffer(r["second"], np.uint64), np.frombuffer(r["blocks"], np.int64))
+                for r in table.drop_columns("part").to_pylist()]
+        keys, n, second, of = map(np.concatenate, zip(*some))
+        keys, second, n, of = _by_hashes(keys, second, n, of)
+        often = n >= least
+        keys, of = keys[often], of[often]
+        return pa.table({"key": keys.view(np.int64), "second": second[often].view(np.int64), "f": n[often], "block": of, "place": _places(keys, of).view(np.int64)})
+
+    packed = blocks.drop("words").mapInArrow(count, "part int, keys binary, counts binary, second binary, blocks binary")
+    return packed.groupBy("part").applyInArrow(total, "key long, second long, f long, block long, place long")
+
+
+def _by_hashes(keys: np.ndarray, second: np.ndarray, n: np.ndarray, blocks: np.ndarray):
+    """(key, second, summed n, smallest block) of equal phrases, in key order."""
+    order = np.lexsort((second, keys))
+    keys, second = keys[order], second[order]
+    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])]) if len(keys) else np.zeros(0, np.int64)
+    if not len(new):
+        return keys, second, n, blocks
+    return keys[new], second[new], np.add.reduceat(n[order], new), np.minimum.reduceat(blocks[order], new)
+
+
+def _places(keys: np.ndarray, blocks: np.ndarray | int) -> np.ndarray:
+    """A hash of each key and its block."""
+    with np.errstate(over="ignore"):
+        return mix64(keys + mix64(np.asarray(blocks).astype(np.uint64).reshape(-1) ^ _ODD[23]))
+
+
 def _filter(spark: SparkSession, keys: DataFrame, n_words: int):
     """The filter of the keys, sent to all executors: at most ``FILTER_WORDS`` 64-bit words."""
     def place(batches):
@@ -334,30 +402,47 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample: int =
         proposed = materialise(proposed.unionByName(failed), "phrase-proposed")
         known, before = _filter(spark, proposed, n_words), known
     wanted = _filter(spark, frequent, _size(frequent.count()))
+    counts = materialise(_phrase_counts(texts, min_count, wanted), "phrase-counts")
+    chosen = _filter(spark, counts.select(F.col("place").alias("key")), _size(counts.count()))
 
     def name(batches):
-        known, held, totals = Filter(wanted.value), _Held(), {}
+        known, own, totals = Filter(wanted.value), Filter(chosen.value), {}
         for block in _loaded(batches):
             for x, n in zip(block.langs, np.bincount(block.lang, minlength=len(block.langs)).tolist()):
                 totals[x] = totals.get(x, 0) + n
+            held = _Held()
             for m in range(1, LONGEST + 1):
                 keys, whole = block.keys(m)
                 at = np.flatnonzero(whole)
                 at = at[known.has(keys[at])]
                 if not len(at):
                     break
-                odd = held.add(block, m, at, keys[at], block.second(m)[at])
-                if len(odd):  # phrases whose keys collide are counted one by one
-                    yield _named([block.langs[x] for x in block.lang[odd].tolist()], [m] * len(odd), block.phrases(odd, m), [1] * len(odd))
-            if len(held.keys) > HELD_PHRASES:
-                yield from held.rows()
-                held = _Held()
-        yield from held.rows()
-        yield _named(list(totals), [0] * len(totals), [""] * len(totals), list(totals.values()))
-
-    named = texts.mapInArrow(name, "lang string, m int, phrase string, f long").groupBy("lang", "m", "phrase").agg(F.sum("f").alias("f"))
-    named = materialise(named.where((F.col("f") >= min_count) | (F.col("m") == 0)), "phrase-named")
-    return named.where("m > 0"), named.where("m = 0").select("lang", F.col("f").alias("n"))
+                at = at[own.has(_places(keys[at], block.number))]
+                if not len(at):
+                    continue
+                odd = held.add(block, m, at, keys[at], block.second(m, at))
+                if len(odd):  # phrases whose keys collide are named one by one
+                    second = block.second(m, odd)
+                    _, first = np.unique(np.stack([keys[odd], second]), axis=1, return_index=True)
+                    odd, second = odd[first], second[first]
+                    yield _placed(_named([block.langs[x] for x in block.lang[odd].tolist()], [m] * len(odd), block.phrases(odd, m), [0] * len(odd)),
+                                  keys[odd], second, block.number)
+            at = 0
+            for rows in held.rows():
+                some = slice(at, at + rows.num_rows)
+                yield _placed(rows, held.keys[some], held.second[some], block.number)
+                at += rows.num_rows
+        yield _placed(_named(list(totals), [0] * len(totals), [""] * len(totals), list(totals.values())), *np.zeros((2, len(totals)), np.uint64), -1)
+
+    named = materialise(texts.mapInArrow(name, "lang string, m int, phrase string, f long, key long, second long, block long"), "phrase-texts")
+    # the filter lets some further blocks name a phrase: only the first one counts
+    found = counts.join(named.where("m > 0").drop("f"), ["key", "second", "block"]).select("lang", "m", "phrase", "f")
+    return materialise(found, "phrase-named"), named.where("m = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+
+
+def _placed(rows: pa.RecordBatch, keys: np.ndarray, second: np.ndarray, block: int) -> pa.RecordBatch:
+    more = [pa.array(keys.view(np.int64)), pa.array(second.view(np.int64)), pa.array(np.full(rows.num_rows, block, np.int64))]
+    return pa.RecordBatch.from_arrays([*rows.columns, *more], names=[*rows.schema.names, "key", "second", "block"])
 
 
 def _named(langs, lengths, phrases, counts) -> pa.RecordBatch:
@@ -366,7 +451,7 @@ def _named(langs, lengths, phrases, counts) -> pa.RecordBatch:
 
 
 class _Held:
-    """Counts of a task by key, in key order, each with a second hash, its language and its text."""
+    """Counts by key, in key order, each with a second hash, its language and its text."""
 
     def __init__(self):
         self.keys, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)

@@ -132,3 +132,27 @@ def test_colliding_keys_are_counted_apart():
     assert sorted(block.phrases(odd, 1)) == ["b", "b", "c", "d"] and [tuple(x.as_py() for x in r) for b in held.rows() for r in zip(*b.columns)] == [("en", 1, "a", 3)]
     again = held.add(block, 1, at, keys, block.second(1))
     assert sorted(block.phrases(again, 1)) == ["b", "b", "c", "d"] and held.n.tolist() == [6]
+
+
+def test_a_phrase_is_named_once(spark, documents, monkeypatch):
+    """However many blocks and tasks have a phrase, one of them gives its text; counts and texts stay those of plain counting."""
+    rows = corpus()
+    made = []
+    monkeypatch.setattr(C, "BLOCK_BYTES", 3000)
+    written = C.materialise
+
+    def seen(df, name):
+        out = written(df, name)
+        made.append((name, df.columns, out))
+        return out
+
+    monkeypatch.setattr(C, "materialise", seen)
+    found, totals = C.frequent_phrases(documents(rows).repartition(6), 20, 4)
+    got = {(r.lang, r.phrase): r.f for r in found.collect()}
+    texts = [out for _, columns, out in made if "phrase" in columns and "block" in columns]
+    # before, each of the tasks gave the texts of all its phrases
+    assert len(texts) == 1 and got and texts[0].where("m > 0").count() <= 1.05 * len(got) + 5
+    assert texts[0].where("m > 0").groupBy("lang", "m", "phrase").count().where("count > 1").count() <= 0.05 * len(got) + 5
+    words = Counter((row[2] or "und", " ".join(w[k:k + m])) for row in rows for w in pieces(row[1]) for m in range(1, 6) for k in range(len(w) - m + 1))
+    assert got == {k: n for k, n in words.items() if n >= 20}
+    assert {r.lang: r.n for r in totals.collect() if r.n} == {x: sum(len(w) for row in rows if (row[2] or "und") == x for w in pieces(row[1])) for x in ("en", "fr", "und")}
