@@ -20,13 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CLASS_WEIGHTS, PROBA_THRESHOLD, RANDOM_STATE, TARGET_PREFIX
-from .features import FeatureEncoder, FittedFeatures
+from ..schema import CLASS_WEIGHTS, ONE_HOT_COLUMNS, PROBA_THRESHOLD, RANDOM_STATE, TARGET_PREFIX
+from . import boosting
+from .features import FeatureEncoder, FittedFeatures, _slug
 
 # The reference boosts 100 rounds per label and leaves the depth to its library (6).
 DEFAULT_MAX_ITER = 100
 DEFAULT_MAX_DEPTH = 6
 ROWS_PER_PARTITION = 200_000
+#: Frames with more rows are boosted by ``boosting``, all labels at once.
+LARGE_ROWS = 200_000
 
 
 def class_weight_column(label: str, weights: tuple[float, float] | str,
@@ -113,6 +116,27 @@ class ProductModel:
         return cls(feats, meta["targets"], models)
 
 
+def _weight_pair(weights: tuple[float, float] | str, pos_weight: float | None) -> tuple[float, float]:
+    """Weights of the rows with label 0 and 1, as ``class_weight_column`` has them."""
+    return (1.0, float(pos_weight or 1.0)) if weights == "balanced" else (float(weights[0]), float(weights[1]))
+
+
+def _fit_together(frame: DataFrame, feats: FittedFeatures, targets: list, weights: list, n_rows: int,
+                  max_iter: int, max_depth: int, seed: int) -> dict:
+    """{target: model} by ``boosting.boosted_trees``; ``frame`` has the features as x0, x1, ..."""
+    from ..session import scratch_dir
+    if not targets:
+        return {}
+    names = feats.feature_names
+    at = {n: k for k, n in enumerate(names)}
+    one_hot = [[at[f"{c}_{_slug(v)}"] for v in feats.categories[c][1:]] for c in ONE_HOT_COLUMNS]
+    trees = boosting.boosted_trees(frame, [f"x{k}" for k in range(len(names))], targets, weights, one_hot, max_iter, max_depth, n_rows)
+    spark = frame.sparkSession
+    models = boosting.as_models(spark, trees, len(names), max_iter, scratch_dir(spark, "boosted"), featuresCol="features", labelCol="_label",
+                                weightCol="_w", maxDepth=max_depth, seed=seed, checkpointInterval=10)
+    return dict(zip(targets, models))
+
+
 def fit_layout(n_rows: int, n_labels: int, slots: int, parallelism: int | None = None) -> tuple[int, int]:
     """Partitions of the train frame, and label fits at once (``parallelism``, or by size).
 
@@ -134,10 +158,11 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
                       seed: int = RANDOM_STATE, parallelism: int | None = None) -> ProductModel:
     """Fit features on train, keep varying labels (A25), one GBT each.
 
-    Label fits are independent Spark jobs over the same frame; several are
+    Frames of up to ``LARGE_ROWS`` rows: label fits are independent Spark jobs over the same frame; several are
     submitted at once from driver threads (as ``CrossValidator(parallelism=...)``
     does), so the cluster is not idle between the small per-iteration jobs of a
-    single fit. ``fit_layout`` sets partitions and, without ``parallelism``, fits at once.
+    single fit. ``fit_layout`` sets partitions and, without ``parallelism``, fits at once. Larger ones: the
+    same trees, grown for all labels together (``boosting``).
     """
     targets = list(targets or [TARGET_PREFIX + p for p in products])
     # GBT checkpoints its running predictions every ``checkpointInterval``
@@ -154,16 +179,25 @@ def fit_product_model(train: DataFrame, products: Sequence[str],
     # tasks carries its lineage: it is written, so that is one scan and not the whole
     # preparation, and dealt into few even partitions.
     path = scratch_dir(train.sparkSession, "train-features")
-    feats.assemble(feats.transform(train)).select(*targets, "features").write.parquet(path)
+    large = n_rows > LARGE_ROWS
+    rows = feats.transform(train)
+    if large:
+        rows.select(*targets, *[F.col(f"`{n}`").alias(f"x{k}") for k, n in enumerate(feats.feature_names)]).write.parquet(path)
+    else:
+        feats.assemble(rows).select(*targets, "features").write.parquet(path)
     train.unpersist()
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    partitions, at_once = fit_layout(n_rows, len(targets), slots, parallelism)
-    assembled = train.sparkSession.read.parquet(path).repartition(partitions) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    assembled = train.sparkSession.read.parquet(path)
+    if not large:
+        slots = train.sparkSession.sparkContext.defaultParallelism
+        partitions, at_once = fit_layout(n_rows, len(targets), slots, parallelism)
+        assembled = assembled.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK)
     kept = varying_targets(assembled, targets)
     pos = {}
     if weights == "balanced":
         pos = {r["target"]: r["pos_weight"] for r in balanced_weights(assembled, kept).collect()}
+    if large:
+        return ProductModel(feats, kept, _fit_together(assembled, feats, kept, [_weight_pair(weights, pos.get(t)) for t in kept],
+                                                       n_rows, max_iter, max_depth, seed))
     assembled.count()  # materialise the cache once, before the parallel fits
 
     def fit_one(t: str):
