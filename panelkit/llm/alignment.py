@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from panelkit.llm._common import coded, doc_texts, gather, materialise, mix64, slices, starts_of, strings
 from panelkit.llm.tokens import _byte_letters
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 BUCKETS = 128
 #: Blocks of one part of a bucket, and partial results merged by one task.
 FAN = 256
@@ -446,6 +446,8 @@ def _blocks(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
                      pa.array([sha.tolist()], pa.list_(pa.string())), *(pa.array([x.tobytes()], pa.binary()) for x in binary)],
                     names=[c.split()[0] for c in schema.split(", ")])
                 block += 1
+                del got, texts
+                pa.default_memory_pool().release_unused()  # else kept for later, beside the JVM's heap
 
     return rows.mapInArrow(align, schema)
 
